@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from marginalia.plans import language
+from marginalia.plans import language, separators, vectors
 
-MODULES = [language]
+MODULES = [language, vectors, separators]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A class column with more values than this is taken for a mistake.
+MAX_CLASSES = 10_000
+
 
 def read_measurements(
     spark: SparkSession, path: str, numbers: Sequence[str], name: str = "species"
@@ -23,17 +26,20 @@ def read_measurements(
 def label_names(df: DataFrame, class_column: str) -> list[str]:
     """The class names in label order (alphabetical): the name at i has label i.
 
-    Only names reach the driver, one per class; the counting is a distributed aggregate
-    over the one column.
+    Only the names reach the driver, and no more than ``MAX_CLASSES`` of them.
     """
-    return list(_indexer(df, class_column).labels)
+    names = df.select(class_column).filter(F.col(class_column).isNotNull()).distinct()
+    found = [row[0] for row in names.limit(MAX_CLASSES + 1).collect()]
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{class_column} has more than {MAX_CLASSES} values; it is not a class column")
+    return sorted(found)
 
 
 def label_index(df: DataFrame, class_column: str) -> DataFrame:
     """``(name, label, n)`` for every class of ``df``."""
-    names = label_names(df, class_column)
     counts = df.groupBy(F.col(class_column).alias("name")).agg(F.count("*").alias("n"))
-    return counts.select("name", _position(F.col("name"), names).alias("label"), "n")
+    position = F.row_number().over(Window.orderBy("name")) - 1  # one row per class
+    return counts.select("name", position.cast("double").alias("label"), "n")
 
 
 def with_label(df: DataFrame, class_column: str, names: Sequence[str] | None = None) -> DataFrame:
@@ -69,13 +75,6 @@ def inline_documents(spark: SparkSession, sentences: Sequence[str]) -> DataFrame
     return table.select(space_tokens(F.col("sentence")).alias("text"))
 
 
-def _indexer(df: DataFrame, class_column: str):
-    indexer = StringIndexer(
-        inputCol=class_column, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error"
-    )
-    return indexer.fit(df.select(class_column))
-
-
 def _position(name, names: Sequence[str]):
     ordered = F.array(*[F.lit(n) for n in names])
     return (F.coalesce(F.array_position(ordered, name), F.lit(0)) - 1).cast("double")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from marginalia.plans import language, separators, vectors
+from marginalia.plans import language, models, separators, vectors, words
 
-MODULES = [language, vectors, separators]
+MODULES = [language, models, vectors, separators, words]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

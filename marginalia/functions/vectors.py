@@ -59,19 +59,27 @@ def width_of(df: DataFrame, features: str = "features") -> int:
     return 0 if row is None else int(row["width"])
 
 
-def vector_sum(df: DataFrame, terms: Column, width: int) -> DataFrame:
-    """One row: ``total array<double>``, the element-wise sum of ``terms`` over all rows.
+def weighted_sum(df: DataFrame, features: Column, factor: Column, width: int) -> tuple[list[float], float, int]:
+    """The sums over all rows of factor * features (a vector) and factor, and the number of rows.
 
-    Every task reduces its rows to one partial vector before the shuffle.
+    Every task reduces its rows to one partial vector before the shuffle; what the driver gets is
+    as large as one row.
     """
+    rows = df.select(features.alias("features"), factor.alias("factor"))
     if width <= UNROLLED_SUM:
-        sums = [F.coalesce(F.sum(F.get("terms", F.lit(i))), F.lit(0.0)) for i in range(width)]
-        return df.select(terms.alias("terms")).agg(F.array(*sums).alias("total"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "total")))  # ``width`` structs
-    return vector_sum_long(df, terms).agg(F.transform(ordered, lambda e: e["total"]).alias("total"))
-
-
-def vector_sum_long(df: DataFrame, terms: Column) -> DataFrame:
-    """``(pos, total)``: the element-wise sum of ``terms``, one row per element, for any width."""
+        sums = [F.sum(F.get("features", F.lit(i)) * F.col("factor")) for i in range(width)]
+        found = list(rows.agg(*sums, F.sum("factor"), F.count("*")).collect()[0])
+    else:
+        terms = F.transform("features", lambda v: v * F.col("factor"))
+        long = vector_sum(rows, F.concat(terms, F.array("factor", F.lit(1.0))))
+        found = [0.0] * (width + 2)
+        for row in long.collect():
+            found[row["pos"]] = row["total"]
+    numbers = [0.0 if v is None else float(v) for v in found]
+    return numbers[:width], numbers[width], int(numbers[width + 1])
+
+
+def vector_sum(df: DataFrame, terms: Column) -> DataFrame:
+    """``(pos, total)``: the element-wise sum of ``terms`` over all rows, one row per element."""
     elements = df.select(F.posexplode(terms).alias("pos", "value"))
     return elements.groupBy("pos").agg(F.sum("value").alias("total"))

@@ -6,7 +6,9 @@ All take a labelled-point table (``label``, ``features``) and return a fitted Sp
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
@@ -21,6 +23,9 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Below this a training job's task is mostly overhead.
+ROWS_PER_TASK = 20_000
+
 
 def naive_bayes(smoothing: float = 1.0, model_type: str = "multinomial") -> NaiveBayes:
     """Naive Bayes. The multinomial form refuses negative features."""
@@ -73,9 +78,21 @@ def fit(estimator: Estimator, train: DataFrame) -> Model:
     The estimators read their input several times; holding these two columns keeps them from
     parsing the source again. What a lost executor held is computed again.
     """
+    with training_rows(train) as rows:
+        return estimator.fit(rows)
+
+
+@contextmanager
+def training_rows(train: DataFrame) -> Iterator[DataFrame]:
+    """``(label, features)`` of ``train``, held for the time of a training.
+
+    Iterative training runs many short jobs, so few rows go into few partitions; large tables keep
+    theirs.
+    """
     held = train.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(held)
+        tasks = math.ceil(held.count() / ROWS_PER_TASK) or 1
+        yield held.coalesce(tasks) if tasks < held.rdd.getNumPartitions() else held
     finally:
         held.unpersist()
 

@@ -15,7 +15,7 @@ from marginalia.functions.vectors import (
     dot,
     dot_constant,
     vector_sum,
-    vector_sum_long,
+    weighted_sum,
     width_of,
 )
 
@@ -36,14 +36,7 @@ def weighted_vector_sum(df: DataFrame, weight: Column) -> DataFrame:
     """``(pos, total)``: the sum of weight * features over all rows, one row per element."""
     width = width_of(df)
     scaled = F.transform(checked(F.col("features"), width), lambda v: v * F.col("factor"))
-    return vector_sum_long(df.withColumn("factor", weight), scaled)
-
-
-def weighted_vector(df: DataFrame, weight: Column, width: int | None = None) -> list[float]:
-    """The same sum as a driver list; its size is the vector width, whatever the table's size."""
-    width = width_of(df) if width is None else width
-    scaled = F.transform(checked(F.col("features"), width), lambda v: v * F.col("factor"))
-    return list(vector_sum(df.withColumn("factor", weight), scaled, width).first()["total"])
+    return vector_sum(df.withColumn("factor", weight), scaled)
 
 
 def gram_product(df: DataFrame, coefficient: Column, output: str = "product") -> DataFrame:
@@ -53,8 +46,9 @@ def gram_product(df: DataFrame, coefficient: Column, output: str = "product") ->
     vector), then every row takes its inner product with it.
     """
     width = width_of(df)
-    total = weighted_vector(df, coefficient, width)
-    return df.withColumn(output, dot_constant(checked(F.col("features"), width), total))
+    features = checked(F.col("features"), width)
+    total, _, _ = weighted_sum(df, features, coefficient, width)
+    return df.withColumn(output, dot_constant(features, total))
 
 
 def gram_columns(df: DataFrame, landmarks: Sequence[Sequence[float]], output: str = "gram") -> DataFrame:

@@ -45,15 +45,14 @@ def nearest(
     cells = staged(_assign(train.select("id", _numbers(width), "label"), centres, k))
     shape = _cell_shape(cells)
     homes = staged(_assign(test.select("id", _numbers(width)), centres, k, shape))
-    first = staged(_search(cells, homes.withColumn("cells", F.array("cell")), k, block_rows))
+    first = staged(_top(_search(cells, homes.withColumn("cells", F.array("cell")), k, block_rows), k))
 
     known = first.groupBy("test_id").agg(F.max("squared").alias("worst"), F.count("*").alias("found"))
     bounded = homes.join(known, homes["id"] == known["test_id"], "left").select(homes["*"], "worst", "found")
     onward = staged(_route(bounded, centres, shape, k))
     second = _search(cells, onward, k, block_rows)
 
-    order = Window.partitionBy("test_id").orderBy("squared", "train_id")
-    ranked = first.unionByName(second).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = _top(first.drop("rank").unionByName(second), k)
     return ranked.select("test_id", "rank", "train_id", "label", F.sqrt("squared").alias("distance"))
 
 
@@ -65,6 +64,12 @@ def majority(neighbours: DataFrame) -> DataFrame:
     return winner.select(F.col("test_id").alias("id"), F.col("label").alias("prediction"))
 
 
+def _top(pairs: DataFrame, k: int) -> DataFrame:
+    """The first k pairs of every test row; tasks cut down to k before the shuffle."""
+    order = Window.partitionBy("test_id").orderBy("squared", "train_id")
+    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
 def _numbers(width: int):
     return checked(F.col("features").cast("array<double>"), width).alias("features")
 

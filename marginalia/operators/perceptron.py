@@ -27,8 +27,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.functions.vectors import checked, vector_sum, width_of
-from marginalia.operators.linear import margin, weighted_vector
+from marginalia.functions.vectors import checked, weighted_sum, width_of
+from marginalia.operators.linear import margin
 
 
 @dataclass(frozen=True)
@@ -107,10 +107,8 @@ def _train(rows: DataFrame, mode: str, rate: float, max_epochs: int, shards: int
 def _batch_epoch(rows: DataFrame, weights: np.ndarray, bias: float, width: int):
     """Mistake count and the summed y * x and y of all mistakes, in one aggregate."""
     wrong = rows.filter(margin(F.col("features"), F.col("label"), weights, bias) <= 0)
-    updates = F.transform("features", lambda v: v * F.col("label"))
-    terms = F.concat(updates, F.array("label", F.lit(1.0)))
-    total = np.array(vector_sum(wrong, terms, width + 2).first()["total"] or [0.0] * (width + 2))
-    return int(total[-1]), total[:width], float(total[-2])
+    dw, db, mistakes = weighted_sum(wrong, F.col("features"), F.col("label"), width)
+    return mistakes, np.array(dw), db
 
 
 def _mixing_epoch(rows: DataFrame, weights: np.ndarray, bias: float, rate: float, width: int):
@@ -124,13 +122,12 @@ def _mixing_epoch(rows: DataFrame, weights: np.ndarray, bias: float, rate: float
             w, b, found = _visit_in_order(x, y, w, b, rate)
             mistakes, seen = mistakes + found, seen + len(y)
         if seen:
-            result = [[*w.tolist(), b, float(mistakes), 1.0]]
+            result = [[*w.tolist(), b, float(mistakes)]]
             yield pa.RecordBatch.from_arrays([pa.array(result, pa.list_(pa.float64()))], ["result"])
 
     results = rows.mapInArrow(one_pass, "result array<double>")
-    total = np.array(vector_sum(results, F.col("result"), width + 3).first()["total"])
-    averaged = int(total[-1])
-    return int(total[-2]), total[:width] / averaged, float(total[width] / averaged), averaged
+    total, _, averaged = weighted_sum(results, F.col("result"), F.lit(1.0), width + 2)
+    return int(total[-1]), np.array(total[:width]) / averaged, total[width] / averaged, averaged
 
 
 def _visit_in_order(x: np.ndarray, y: np.ndarray, w: np.ndarray, b: float, rate: float):
@@ -220,10 +217,9 @@ def _batch_alpha(fit: PerceptronFit) -> Column:
 def dual_model(alphas: DataFrame, fit: PerceptronFit) -> DataFrame:
     """``(weights, bias)`` rebuilt from ``alpha``: rate * sum of alpha * y * x, over the shards averaged."""
     width = len(fit.weights)
-    extended = alphas.withColumn("features", F.concat("features", F.array(F.lit(1.0))))
-    total = weighted_vector(extended, F.col("alpha") * F.col("label"), width + 1)
+    total, bias, _ = weighted_sum(alphas, F.col("features"), F.col("alpha") * F.col("label"), width)
     scale = fit.rate / fit.averaged
-    model = ([scale * v for v in total[:width]], scale * total[width])
+    model = ([scale * v for v in total], scale * bias)
     return alphas.sparkSession.createDataFrame([model], "weights array<double>, bias double")
 
 

@@ -17,8 +17,8 @@ MALFORMED = "[^BMES]|^[ME]|[BM]$|[BM][BS]|[ES][ME]"
 
 
 def characters(text: Column) -> Column:
-    """The characters of a string as an array (code points, also beyond the basic plane)."""
-    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    """The characters of a string as an array; none for the empty string."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
 def encode(words: Column) -> tuple[Column, Column]:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame
 
-from marginalia.operators.estimators import logistic_regression
+from marginalia.operators.estimators import logistic_regression, training_rows
 
 
 def logistic_grid(
@@ -52,11 +51,8 @@ def search(
         parallelism=parallelism,
         seed=seed,
     )
-    held = train.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return validation.fit(held)
-    finally:
-        held.unpersist()
+    with training_rows(train) as rows:
+        return validation.fit(rows)
 
 
 def search_results(model: TrainValidationSplitModel, points: DataFrame) -> DataFrame:

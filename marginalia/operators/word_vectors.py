@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Word vectors live whole on the driver and on every executor while training.
 MODEL_BYTES = 2 << 30
-TOKENS_PER_PARTITION = 1_000_000
+TOKENS_PER_PARTITION = 500_000
 
 
 def vocabulary(documents: DataFrame, min_count: int = 0, text: str = "text") -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marginalia.functions.text import letter_counts
 from marginalia.operators import estimators as est
 from marginalia.operators import evaluate
 from marginalia.operators.split import key_split, side
+from marginalia.operators.staging import staged
 from marginalia.sources.labelled import label_index, label_names, with_features, with_label
-from marginalia.sources.tables import read_table
+from marginalia.sources.tables import read_table, spread
 
 LETTERS = list("aeiounrstdhl")
 COUNTS = [f"n_{letter}" for letter in LETTERS]
@@ -19,13 +21,17 @@ def labelled_counts(spark: SparkSession, folder: str) -> DataFrame:
     """``(doc_id, label, n_a, ...)``, label by alphabetical order of the language names."""
     documents = read_table(spark, folder, "documents", "doc_id", "text", "lang")
     names = label_names(documents, "lang")
-    counted = documents.select("doc_id", "lang", *letter_counts(documents["text"], LETTERS))
+    counted = spread(documents, "doc_id").select("doc_id", "lang", *letter_counts(F.col("text"), LETTERS))
     return with_label(counted, "lang", names).select("doc_id", "label", *COUNTS)
 
 
 def points(spark: SparkSession, folder: str) -> DataFrame:
-    """``(doc_id, label, features, split)``; three of four keys train."""
-    split = key_split(labelled_counts(spark, folder), "doc_id", hashed=False)
+    """``(doc_id, label, features, split)``; three of four keys train.
+
+    The counts are staged: they are a small fraction of the text, and training and scoring then
+    read them instead of the text.
+    """
+    split = key_split(staged(labelled_counts(spark, folder)), "doc_id", hashed=False)
     return with_features(split, COUNTS).select("doc_id", "label", "features", "split")
 
 

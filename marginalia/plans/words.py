@@ -8,20 +8,20 @@ from pyspark.sql import functions as F
 from marginalia.functions.text import space_tokens
 from marginalia.operators import tagging
 from marginalia.operators import word_vectors as wv
-from marginalia.sources.tables import read_table
+from marginalia.sources.tables import read_table, spread
 
 MIN_COUNT = 5
 
 
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
     """``(doc_id, text array<string>)``."""
-    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    documents = spread(read_table(spark, folder, "documents", "doc_id", "text"), "doc_id")
     return documents.select("doc_id", space_tokens(F.col("text")).alias("text"))
 
 
 def sentences(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of every document as a tagged sentence; its words are what spaces separate."""
-    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    documents = spread(read_table(spark, folder, "documents", "doc_id", "text"), "doc_id")
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     chars, tags = tagging.encode(F.split("line", " "))
     return lines.select(F.struct("doc_id", "line_no").alias("sent_id"), chars, tags)

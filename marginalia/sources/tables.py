@@ -9,3 +9,13 @@ def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> Da
     """The parquet table ``name`` under ``folder``; ``columns`` bounds what the scan reads."""
     table = spark.read.parquet(f"{folder}/{name}.parquet")
     return table.select(*columns) if columns else table
+
+
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """``table`` over all cores, by hash of ``key``, when it has fewer splits than there are cores.
+
+    For small files before heavy work per row. Large inputs have more splits than the cluster has
+    cores and pass through unchanged, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table

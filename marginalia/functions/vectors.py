@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this width a vector expression is written out element by element, which Spark compiles
-# into one tight loop body; wider vectors use array functions or one row per element.
+# Up to these widths an expression is written out element by element, which Spark compiles into
+# straight code; wider vectors use array functions or Arrow batches.
 UNROLLED_DOT = 16
 UNROLLED_SUM = 64
 
@@ -62,23 +64,36 @@ def width_of(df: DataFrame, features: str = "features") -> int:
 def weighted_sum(df: DataFrame, features: Column, factor: Column, width: int) -> tuple[list[float], float, int]:
     """The sums over all rows of factor * features (a vector) and factor, and the number of rows.
 
-    Every task reduces its rows to one partial vector before the shuffle; what the driver gets is
-    as large as one row.
+    Rows without a factor are left out. Every task reduces its rows to one partial vector before
+    the shuffle; what the driver gets is as large as one row.
     """
-    rows = df.select(features.alias("features"), factor.alias("factor"))
+    rows = df.select(features.alias("features"), factor.alias("factor")).filter("factor is not null")
     if width <= UNROLLED_SUM:
         sums = [F.sum(F.get("features", F.lit(i)) * F.col("factor")) for i in range(width)]
         found = list(rows.agg(*sums, F.sum("factor"), F.count("*")).collect()[0])
     else:
-        terms = F.transform("features", lambda v: v * F.col("factor"))
-        long = vector_sum(rows, F.concat(terms, F.array("factor", F.lit(1.0))))
+        partial = rows.mapInArrow(_partial_sums(width), "partial array<double>")
         found = [0.0] * (width + 2)
-        for row in long.collect():
+        for row in vector_sum(partial, F.col("partial")).collect():
             found[row["pos"]] = row["total"]
     numbers = [0.0 if v is None else float(v) for v in found]
     return numbers[:width], numbers[width], int(numbers[width + 1])
 
 
+def _partial_sums(width: int):
+    """Per task: one row with the weighted sum, the sum of the factors and the row count."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width + 2)
+        for batch in batches:
+            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            factor = batch.column("factor").to_numpy(zero_copy_only=False).astype(float)
+            total += [*(factor @ x), factor.sum(), len(factor)]
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["partial"])
+
+    return add_up
+
+
 def vector_sum(df: DataFrame, terms: Column) -> DataFrame:
     """``(pos, total)``: the element-wise sum of ``terms`` over all rows, one row per element."""
     elements = df.select(F.posexplode(terms).alias("pos", "value"))

@@ -40,19 +40,25 @@ def nearest(
     width = width_of(train)
     if width == 0:
         raise ValueError("no training rows")
-    centres = _choose_pivots(train, width, k, pivots)
+    centres = _choose_pivots(train, width, block_rows, pivots)
 
     cells = staged(_assign(train.select("id", _numbers(width), "label"), centres, k))
     shape = _cell_shape(cells)
     homes = staged(_assign(test.select("id", _numbers(width)), centres, k, shape))
     first = staged(_top(_search(cells, homes.withColumn("cells", F.array("cell")), k, block_rows), k))
 
+    if len(shape[0]) == 1:
+        return _result(first)
+
     known = first.groupBy("test_id").agg(F.max("squared").alias("worst"), F.count("*").alias("found"))
     bounded = homes.join(known, homes["id"] == known["test_id"], "left").select(homes["*"], "worst", "found")
     onward = staged(_route(bounded, centres, shape, k))
     second = _search(cells, onward, k, block_rows)
 
-    ranked = _top(first.drop("rank").unionByName(second), k)
+    return _result(_top(first.drop("rank").unionByName(second), k))
+
+
+def _result(ranked: DataFrame) -> DataFrame:
     return ranked.select("test_id", "rank", "train_id", "label", F.sqrt("squared").alias("distance"))
 
 
@@ -74,10 +80,14 @@ def _numbers(width: int):
     return checked(F.col("features").cast("array<double>"), width).alias("features")
 
 
-def _choose_pivots(train: DataFrame, width: int, k: int, pivots: int | None) -> np.ndarray:
-    """About sqrt(n) training vectors by hash of the id, limited by ``PIVOT_BYTES``."""
+def _choose_pivots(train: DataFrame, width: int, block_rows: int, pivots: int | None) -> np.ndarray:
+    """Training vectors drawn by hash of the id: sqrt(n), but no more than two per block of rows.
+
+    Few rows need no cells, and cells much smaller than a block only add visits. ``PIVOT_BYTES``
+    bounds what the driver and every task hold.
+    """
     rows = train.count()
-    wanted = pivots or max(k, math.ceil(math.sqrt(rows)))
+    wanted = pivots or min(math.ceil(math.sqrt(rows)), 2 * rows // block_rows)
     wanted = max(1, min(wanted, rows, PIVOT_BYTES // (8 * width)))
     share = min(1.0, 1.5 * wanted / rows)
     threshold = int((share - 0.5) * 2**64)

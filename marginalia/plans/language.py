@@ -35,15 +35,14 @@ def points(spark: SparkSession, folder: str) -> DataFrame:
     return with_features(split, COUNTS).select("doc_id", "label", "features", "split")
 
 
-def scored(spark: SparkSession, folder: str, estimator) -> DataFrame:
-    """Every document with its prediction by a model trained on the training side."""
-    table = points(spark, folder)
+def scored(table: DataFrame, estimator) -> DataFrame:
+    """Every point with its prediction by a model trained on the training side."""
     model = est.fit(estimator, side(table, "train"))
     return est.scored_columns(est.score(model, table), "doc_id", "split")
 
 
 def bayes_scored(spark: SparkSession, folder: str) -> DataFrame:
-    return scored(spark, folder, est.naive_bayes())
+    return scored(points(spark, folder), est.naive_bayes())
 
 
 def nb_accuracy(spark: SparkSession, folder: str) -> DataFrame:

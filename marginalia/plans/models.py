@@ -27,7 +27,7 @@ def flag_points(spark: SparkSession, folder: str) -> DataFrame:
 
 def _accuracy(estimator):
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return evaluate.accuracy(language.scored(spark, folder, estimator()), "split")
+        return evaluate.accuracy(language.scored(language.points(spark, folder), estimator()), "split")
 
     return query
 
@@ -76,23 +76,21 @@ def english_auc(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(round(area, 6),)], "area double")
 
 
-def _flag_report(spark: SparkSession, folder: str, name: str, estimator) -> DataFrame:
-    points = flag_points(spark, folder)
-    model = est.fit(estimator, side(points, "train"))
-    return evaluate.report(est.scored_columns(est.score(model, points), "split"), name, "returnflag")
-
-
 def comparison_table(spark: SparkSession, folder: str) -> DataFrame:
     methods = {
         "naive bayes": est.naive_bayes,
         "decision tree": est.decision_tree,
         "logistic regression": est.logistic_regression,
     }
+    datasets = {"language": language.points(spark, folder), "returnflag": flag_points(spark, folder)}
     reports = []
-    for name, estimator in methods.items():
-        reports.append(evaluate.report(language.scored(spark, folder, estimator()), name, "language"))
-        reports.append(_flag_report(spark, folder, name, estimator()))
-    return evaluate.comparison(reports, ["language", "returnflag"])
+    for dataset, table in datasets.items():
+        train = side(table, "train")
+        for name, estimator in methods.items():
+            model = est.fit(estimator(), train)
+            scored = est.scored_columns(est.score(model, table), "split")
+            reports.append(evaluate.report(scored, name, dataset))
+    return evaluate.comparison(reports, list(datasets))
 
 
 def key_split_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -85,9 +85,9 @@ def comparison_table(spark: SparkSession, folder: str) -> DataFrame:
     datasets = {"language": language.points(spark, folder), "returnflag": flag_points(spark, folder)}
     reports = []
     for dataset, table in datasets.items():
-        train = side(table, "train")
-        for name, estimator in methods.items():
-            model = est.fit(estimator(), train)
+        with est.training_rows(side(table, "train")) as rows:
+            models = {name: estimator().fit(rows) for name, estimator in methods.items()}
+        for name, model in models.items():
             scored = est.scored_columns(est.score(model, table), "split")
             reports.append(evaluate.report(scored, name, dataset))
     return evaluate.comparison(reports, list(datasets))

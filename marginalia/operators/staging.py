@@ -19,8 +19,13 @@ def staging_folder(spark: SparkSession) -> str:
     return folder
 
 
+def staged_path(spark: SparkSession, name: str = "stage") -> str:
+    """A new path in the staging folder."""
+    return f"{staging_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once as a table and read back: fixed rows, short lineage, pruned reads."""
-    path = f"{staging_folder(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = staged_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,34 +61,39 @@ def decode(sentences: DataFrame) -> DataFrame:
 
 def tag_counts(sentences: DataFrame) -> DataFrame:
     """``(tag, n)`` for every tag that occurs."""
-    tags = _checked_tags()
-    counts = [F.sum(F.char_length(tags) - F.char_length(F.replace(tags, F.lit(t), F.lit("")))) for t in TAGS]
+    counts = [_shrinks_by(F.replace("tags", F.lit(t), F.lit(""))) for t in TAGS]
     return _as_rows(sentences, "tag", TAGS, counts)
 
 
 def start_counts(sentences: DataFrame) -> DataFrame:
     """``(tag, n)`` over the first tags of all sentences."""
-    first = F.substring(_checked_tags(), 1, 1)
-    counts = [F.sum(F.when(first == t, 1).otherwise(0)) for t in TAGS]
+    first = F.substring("tags", 1, 1)
+    counts = [F.when(first == t, 1).otherwise(0) for t in TAGS]
     return _as_rows(sentences, "tag", TAGS, counts)
 
 
 def transition_counts(sentences: DataFrame) -> DataFrame:
     """``(pair, n)``: how often a tag follows another within a sentence."""
-    tags = _checked_tags()
-    counts = [F.sum(F.regexp_count(tags, F.lit(f"{p[0]}(?={p[1]})"))) for p in TRANSITIONS]
+    counts = [_shrinks_by(F.regexp_replace("tags", f"{p[0]}(?={p[1]})", "")) for p in TRANSITIONS]
     return _as_rows(sentences, "pair", TRANSITIONS, counts)
 
 
+def _shrinks_by(shortened: Column) -> Column:
+    """How many tags were taken out."""
+    return F.char_length("tags") - F.char_length(shortened)
+
+
 def emission_counts(sentences: DataFrame) -> DataFrame:
     """``(tag, ch, n)``: how often a tag stands at a character."""
     return tagged_characters(sentences).groupBy("tag", "ch").agg(F.count("*").alias("n"))
 
 
 def _as_rows(sentences: DataFrame, name: str, keys: list[str], counts: list[Column]) -> DataFrame:
-    """One aggregate for all keys, turned into one row per key with a count."""
-    pairs = F.array(*[F.struct(F.lit(k).alias(name), n.cast("bigint").alias("n")) for k, n in zip(keys, counts)])
-    rows = sentences.agg(pairs.alias("pairs")).select(F.inline("pairs"))
+    """Sums of all counts in one aggregate, turned into one row per key that occurs."""
+    checked = sentences.select(_checked_tags().alias("tags"))
+    sums = [F.sum(n).cast("bigint") for n in counts]
+    pairs = F.array(*[F.struct(F.lit(k).alias(name), n.alias("n")) for k, n in zip(keys, sums)])
+    rows = checked.agg(pairs.alias("pairs")).select(F.inline("pairs"))
     return rows.filter(F.col("n") > 0)
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from marginalia.operators import estimators as est
 from marginalia.operators import evaluate, tuning
 from marginalia.operators.split import key_sample, key_split, one_vs_rest_label, random_split, side
+from marginalia.operators.staging import staged_path
 from marginalia.plans import language
-from marginalia.sources.labelled import with_features, with_label
+from marginalia.sources.labelled import read_measurements, with_features, with_label
 from marginalia.sources.tables import read_table
 
 FLAG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
@@ -25,6 +26,15 @@ def flag_points(spark: SparkSession, folder: str) -> DataFrame:
     return with_features(split, FLAG_FEATURES).select("label", "features", "split")
 
 
+def measurements_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """lineitem numbers and return flag written as headerless CSV, read back and summed by label."""
+    path = staged_path(spark, "measurements")
+    read_table(spark, folder, "lineitem", *FLAG_FEATURES, "l_returnflag").write.csv(path)
+    rows = with_label(read_measurements(spark, path, FLAG_FEATURES, "flag"), "flag")
+    sums = [F.round(F.sum(c), 4).alias(f"sum_{c}") for c in FLAG_FEATURES]
+    return rows.groupBy("label").agg(F.count("*").alias("n"), *sums)
+
+
 def _accuracy(estimator):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         return evaluate.accuracy(language.scored(language.points(spark, folder), estimator()), "split")
@@ -122,6 +132,7 @@ QUERIES = {
     "key_split_counts": key_split_counts,
     "random_split_counts": random_split_counts,
     "sample_key": sample_key,
+    "measurements_csv": measurements_csv,
     "tree_accuracy": _accuracy(est.decision_tree),
     "tree_rules": tree_rules,
     "logreg_accuracy": _accuracy(est.logistic_regression),
@@ -147,6 +158,12 @@ ORACLES = {
     "key_split_counts": f"""SELECT CASE WHEN {_bucket_sql('o_orderkey', 4)} < 3 THEN 'train' ELSE 'test' END AS split,
       count(*) AS n FROM orders GROUP BY 1""",
     "sample_key": f"SELECT c_custkey, c_mktsegment FROM customer WHERE {_bucket_sql('c_custkey', 5)} < 1",
+    "measurements_csv": f"""WITH flags AS (
+        SELECT l_returnflag, CAST(row_number() OVER (ORDER BY l_returnflag) - 1 AS DOUBLE) AS label
+        FROM (SELECT DISTINCT l_returnflag FROM lineitem)
+      )
+      SELECT label, count(*) AS n, {', '.join(f'round(sum({c}), 4) AS sum_{c}' for c in FLAG_FEATURES)}
+      FROM lineitem JOIN flags USING (l_returnflag) GROUP BY label""",
     "english_auc": f"""WITH {language._POINTS_SQL},
       scores AS (
         SELECT CASE WHEN label = 1 THEN 1 ELSE 0 END AS label,

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from marginalia.functions.text import space_tokens
 from marginalia.operators import tagging
 from marginalia.operators import word_vectors as wv
+from marginalia.operators.staging import staged, staged_path
+from marginalia.sources.corpora import read_tagged_corpus
 from marginalia.sources.tables import read_table, spread
 
 MIN_COUNT = 5
@@ -66,6 +68,15 @@ def bmes_words(spark: SparkSession, folder: str) -> DataFrame:
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
+def aligned_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """All sentences written to two sets of text files, read back line by line and counted again."""
+    rows = staged(sentences(spark, folder).select("chars", "tags"))
+    paths = {c: staged_path(spark, f"lines-{c}") for c in rows.columns}
+    for column, path in paths.items():
+        rows.select(column).write.text(path)
+    return tagging.tag_counts(read_tagged_corpus(spark, paths["chars"], paths["tags"]))
+
+
 QUERIES = {
     "tokens_count": tokens_count,
     "w2v_vocabulary": w2v_vocabulary,
@@ -76,6 +87,7 @@ QUERIES = {
     "bmes_transitions": bmes_transitions,
     "bmes_emissions": bmes_emissions,
     "bmes_words": bmes_words,
+    "aligned_corpus": aligned_corpus,
 }
 
 _TOKENS_SQL = """CASE WHEN text <> '' AND rtrim(text, ' ') = '' THEN CAST([] AS VARCHAR[])
@@ -128,3 +140,4 @@ ORACLES = {
       FROM places GROUP BY 1, 2""",
     "bmes_words": f"WITH {_WORDS_SQL} SELECT word, count(*) AS n FROM words GROUP BY word",
 }
+ORACLES["aligned_corpus"] = ORACLES["bmes_tag_counts"]

@@ -23,6 +23,8 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.sources.tables import spread
+
 # Below this a training job's task is mostly overhead.
 ROWS_PER_TASK = 20_000
 
@@ -86,10 +88,10 @@ def fit(estimator: Estimator, train: DataFrame) -> Model:
 def training_rows(train: DataFrame) -> Iterator[DataFrame]:
     """``(label, features)`` of ``train``, held for the time of a training.
 
-    Iterative training runs many short jobs, so few rows go into few partitions; large tables keep
-    theirs.
+    One large split goes to all cores, but as iterative training runs many short jobs, few rows go
+    into few partitions. Tables of many splits and many rows keep theirs.
     """
-    held = train.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    held = spread(train.select("label", "features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tasks = math.ceil(held.count() / ROWS_PER_TASK) or 1
         yield held.coalesce(tasks) if tasks < held.rdd.getNumPartitions() else held

@@ -1,7 +1,9 @@
 """Sentences tagged by character position in a word: B(egin), M(iddle), E(nd), S(ingle).
 
 Tables are ``(sent_id, chars string, tags string)``, one character of ``tags`` per character of
-``chars``. A sentence is one row, so what happens within one needs no shuffle.
+``chars``. A sentence is one row, so what happens within one needs no shuffle. Arrays are unfolded
+with the outer forms of explode: the plain ones make Spark work an array out twice, once to skip
+empty ones.
 """
 
 from __future__ import annotations
@@ -41,8 +43,14 @@ def tagged_characters(sentences: DataFrame) -> DataFrame:
     pairs = F.arrays_zip(
         characters(F.col("chars")).alias("ch"), characters(_checked_tags()).alias("tag")
     )
-    exploded = sentences.select("sent_id", F.posexplode(pairs).alias("pos", "pair"))
-    return exploded.select("sent_id", "pos", "pair.ch", "pair.tag")
+    exploded = sentences.select("sent_id", F.posexplode_outer(pairs).alias("pos", "pair"))
+    return exploded.filter("pos is not null").select("sent_id", "pos", "pair.ch", "pair.tag")
+
+
+def words_of(sentences: DataFrame) -> DataFrame:
+    """``(sent_id, word)``, one row per word the tags spell out."""
+    words = decode(sentences).select("sent_id", F.explode_outer("words").alias("word"))
+    return words.filter("word is not null")
 
 
 def decode(sentences: DataFrame) -> DataFrame:

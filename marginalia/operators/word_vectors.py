@@ -17,7 +17,7 @@ TOKENS_PER_PARTITION = 500_000
 
 def vocabulary(documents: DataFrame, min_count: int = 0, text: str = "text") -> DataFrame:
     """``(word, n)``: every word that occurs at least ``min_count`` times."""
-    words = documents.select(F.explode(text).alias("word"))
+    words = documents.select(F.explode_outer(text).alias("word")).filter("word is not null")
     return words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= min_count)
 
 

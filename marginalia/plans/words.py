@@ -64,7 +64,7 @@ def bmes_emissions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bmes_words(spark: SparkSession, folder: str) -> DataFrame:
-    words = tagging.decode(sentences(spark, folder)).select(F.explode("words").alias("word"))
+    words = tagging.words_of(sentences(spark, folder))
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 

@@ -61,23 +61,30 @@ def width_of(df: DataFrame, features: str = "features") -> int:
     return 0 if row is None else int(row["width"])
 
 
-def weighted_sum(df: DataFrame, features: Column, factor: Column, width: int) -> tuple[list[float], float, int]:
-    """The sums over all rows of factor * features (a vector) and factor, and the number of rows.
+def weighted_totals(df: DataFrame, features: Column, factor: Column, width: int) -> DataFrame:
+    """``(pos, total)``: at ``pos`` < width the sum of factor * features[pos] over all rows, then the
+    sum of the factors and the number of rows.
 
     Rows without a factor are left out. Every task reduces its rows to one partial vector before
-    the shuffle; what the driver gets is as large as one row.
+    the shuffle.
     """
     rows = df.select(features.alias("features"), factor.alias("factor")).filter("factor is not null")
     if width <= UNROLLED_SUM:
         sums = [F.sum(F.get("features", F.lit(i)) * F.col("factor")) for i in range(width)]
-        found = list(rows.agg(*sums, F.sum("factor"), F.count("*")).collect()[0])
-    else:
-        partial = rows.mapInArrow(_partial_sums(width), "partial array<double>")
-        found = [0.0] * (width + 2)
-        for row in vector_sum(partial, F.col("partial")).collect():
-            found[row["pos"]] = row["total"]
-    numbers = [0.0 if v is None else float(v) for v in found]
-    return numbers[:width], numbers[width], int(numbers[width + 1])
+        sums = [F.coalesce(s, F.lit(0.0)) for s in (*sums, F.sum("factor"))]
+        totals = rows.agg(F.array(*sums, F.count("*").cast("double")).alias("totals"))
+        return totals.select(F.posexplode_outer("totals").alias("pos", "total"))
+    partial = rows.mapInArrow(_partial_sums(width), "partial array<double>")
+    elements = partial.select(F.posexplode_outer("partial").alias("pos", "value"))
+    return elements.groupBy("pos").agg(F.sum("value").alias("total"))
+
+
+def weighted_sum(df: DataFrame, features: Column, factor: Column, width: int) -> tuple[list[float], float, int]:
+    """The same as driver values, which are as large as one row: vector, sum of factors, row count."""
+    found = [0.0] * (width + 2)
+    for row in weighted_totals(df, features, factor, width).collect():
+        found[row["pos"]] = row["total"]
+    return found[:width], found[width], int(found[width + 1])
 
 
 def _partial_sums(width: int):
@@ -92,9 +99,3 @@ def _partial_sums(width: int):
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["partial"])
 
     return add_up
-
-
-def vector_sum(df: DataFrame, terms: Column) -> DataFrame:
-    """``(pos, total)``: the element-wise sum of ``terms`` over all rows, one row per element."""
-    elements = df.select(F.posexplode(terms).alias("pos", "value"))
-    return elements.groupBy("pos").agg(F.sum("value").alias("total"))

@@ -7,7 +7,7 @@ All take a labelled-point table (``label``, ``features``) and return a fitted Sp
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -104,6 +104,14 @@ def score(model: Model, points: DataFrame) -> DataFrame:
     return model.transform(points)
 
 
+def score_all(models: Mapping[str, Model], points: DataFrame) -> DataFrame:
+    """``points`` with one prediction column per model, ``prediction of <name>``, in one pass."""
+    for name, model in models.items():
+        named = model.copy().setPredictionCol(f"prediction of {name}")
+        points = named.setRawPredictionCol("").setProbabilityCol("").transform(points)
+    return points
+
+
 def naive_bayes_priors(model: Model, points: DataFrame) -> DataFrame:
     """``(label, pi)``: the log prior of every class."""
     rows = [(float(c), float(v)) for c, v in enumerate(model.pi.toArray())]

@@ -15,8 +15,9 @@ def correct(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("label") == F.col("prediction"))
 
 
-def _correct_count() -> Column:
-    return F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), 1).otherwise(0)), F.lit(0))
+def _correct_count(prediction: str = "prediction") -> Column:
+    right = F.when(F.col("label") == F.col(f"`{prediction}`"), 1).otherwise(0)
+    return F.coalesce(F.sum(right), F.lit(0))
 
 
 def accuracy(scored: DataFrame, *by: str) -> DataFrame:
@@ -40,6 +41,19 @@ def report(scored: DataFrame, model: str, dataset: str) -> DataFrame:
     )
 
 
+def report_all(scored: DataFrame, models: Sequence[str], dataset: str) -> DataFrame:
+    """The same for a table with a ``prediction of <model>`` column for each of several models."""
+    shares = [
+        F.struct(
+            F.lit(model).alias("model"),
+            F.try_divide(_correct_count(f"prediction of {model}").cast("double"), F.count("*")).alias("accuracy"),
+        )
+        for model in models
+    ]
+    rows = scored.groupBy("split").agg(F.array(*shares).alias("shares")).select("split", F.inline("shares"))
+    return rows.select("model", F.lit(dataset).alias("dataset"), "split", "accuracy")
+
+
 def report_lines(reports: DataFrame) -> DataFrame:
     """``(model, dataset, line)``: test and train accuracy of each model as one line of text."""
     by_split = reports.groupBy("model", "dataset").pivot("split", ["test", "train"])

@@ -14,8 +14,8 @@ from marginalia.functions.vectors import (
     checked,
     dot,
     dot_constant,
-    vector_sum,
     weighted_sum,
+    weighted_totals,
     width_of,
 )
 
@@ -35,8 +35,8 @@ def margin(features: Column, label: Column, weights: Sequence[float], bias: floa
 def weighted_vector_sum(df: DataFrame, weight: Column) -> DataFrame:
     """``(pos, total)``: the sum of weight * features over all rows, one row per element."""
     width = width_of(df)
-    scaled = F.transform(checked(F.col("features"), width), lambda v: v * F.col("factor"))
-    return vector_sum(df.withColumn("factor", weight), scaled)
+    totals = weighted_totals(df, checked(F.col("features"), width), weight, width)
+    return totals.filter(F.col("pos") < width)
 
 
 def gram_product(df: DataFrame, coefficient: Column, output: str = "product") -> DataFrame:

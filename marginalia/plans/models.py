@@ -13,7 +13,7 @@ from marginalia.operators.split import key_sample, key_split, one_vs_rest_label,
 from marginalia.operators.staging import staged_path
 from marginalia.plans import language
 from marginalia.sources.labelled import read_measurements, with_features, with_label
-from marginalia.sources.tables import read_table
+from marginalia.sources.tables import read_table, spread
 
 FLAG_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 HIDDEN = 16
@@ -21,7 +21,7 @@ HIDDEN = 16
 
 def flag_points(spark: SparkSession, folder: str) -> DataFrame:
     """``(label, features, split)`` of lineitem: the return flag, split by order."""
-    lines = read_table(spark, folder, "lineitem", "l_orderkey", "l_returnflag", *FLAG_FEATURES)
+    lines = spread(read_table(spark, folder, "lineitem", "l_orderkey", "l_returnflag", *FLAG_FEATURES), "l_orderkey")
     split = key_split(with_label(lines, "l_returnflag"), "l_orderkey", hashed=False)
     return with_features(split, FLAG_FEATURES).select("label", "features", "split")
 
@@ -97,9 +97,7 @@ def comparison_table(spark: SparkSession, folder: str) -> DataFrame:
     for dataset, table in datasets.items():
         with est.training_rows(side(table, "train")) as rows:
             models = {name: estimator().fit(rows) for name, estimator in methods.items()}
-        for name, model in models.items():
-            scored = est.scored_columns(est.score(model, table), "split")
-            reports.append(evaluate.report(scored, name, dataset))
+        reports.append(evaluate.report_all(est.score_all(models, table), list(models), dataset))
     return evaluate.comparison(reports, list(datasets))
 
 

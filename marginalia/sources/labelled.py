@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,18 +28,22 @@ def label_names(df: DataFrame, class_column: str) -> list[str]:
 
     Only the names reach the driver, and no more than ``MAX_CLASSES`` of them.
     """
-    names = df.select(class_column).filter(F.col(class_column).isNotNull()).distinct()
-    found = [row[0] for row in names.limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{class_column} has more than {MAX_CLASSES} values; it is not a class column")
-    return sorted(found)
+    return [name for name, _ in _class_counts(df, class_column)]
 
 
 def label_index(df: DataFrame, class_column: str) -> DataFrame:
     """``(name, label, n)`` for every class of ``df``."""
-    counts = df.groupBy(F.col(class_column).alias("name")).agg(F.count("*").alias("n"))
-    position = F.row_number().over(Window.orderBy("name")) - 1  # one row per class
-    return counts.select("name", position.cast("double").alias("label"), "n")
+    rows = [(name, float(i), n) for i, (name, n) in enumerate(_class_counts(df, class_column))]
+    return df.sparkSession.createDataFrame(rows, "name string, label double, n bigint")
+
+
+def _class_counts(df: DataFrame, class_column: str) -> list[tuple[str, int]]:
+    known = df.filter(F.col(class_column).isNotNull())
+    counts = known.groupBy(F.col(class_column).alias("name")).agg(F.count("*").alias("n"))
+    found = counts.limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{class_column} has more than {MAX_CLASSES} values; it is not a class column")
+    return sorted((row["name"], row["n"]) for row in found)
 
 
 def with_label(df: DataFrame, class_column: str, names: Sequence[str] | None = None) -> DataFrame:

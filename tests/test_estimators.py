@@ -75,6 +75,14 @@ def test_binary_svm_refuses_a_third_class(three_classes):
         est.fit(est.linear_svm(), three_classes)
 
 
+def test_scoring_all_models_at_once(three_classes):
+    points = three_classes.withColumn("split", F.when(F.col("id") % 4 < 3, "train").otherwise("test"))
+    models = {"bayes": est.fit(est.naive_bayes(), points), "tree": est.fit(est.decision_tree(max_depth=2), points)}
+    together = evaluate.report_all(est.score_all(models, points), list(models), "bands")
+    apart = [evaluate.report(est.score(model, points), name, "bands") for name, model in models.items()]
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, apart[0].union(apart[1]).collect()))
+
+
 def test_coefficients(three_classes):
     model = est.fit(est.logistic_regression(), three_classes)
     rows = est.linear_coefficients(model, three_classes, ["a", "b", "c"]).collect()

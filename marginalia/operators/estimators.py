@@ -23,8 +23,6 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.sources.tables import spread
-
 # Below this a training job's task is mostly overhead.
 ROWS_PER_TASK = 20_000
 
@@ -91,11 +89,22 @@ def training_rows(train: DataFrame) -> Iterator[DataFrame]:
     One large split goes to all cores, but as iterative training runs many short jobs, few rows go
     into few partitions. Tables of many splits and many rows keep theirs.
     """
-    held = spread(train.select("label", "features")).persist(StorageLevel.MEMORY_AND_DISK)
+    held = train.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    spread_out = None
     try:
         tasks = math.ceil(held.count() / ROWS_PER_TASK) or 1
-        yield held.coalesce(tasks) if tasks < held.rdd.getNumPartitions() else held
+        splits = held.rdd.getNumPartitions()
+        wanted = min(tasks, train.sparkSession.sparkContext.defaultParallelism)
+        if tasks < splits:
+            yield held.coalesce(tasks)
+        elif splits < wanted:
+            spread_out = held.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+            yield spread_out
+        else:
+            yield held
     finally:
+        if spread_out is not None:
+            spread_out.unpersist()
         held.unpersist()
 
 

@@ -14,8 +14,8 @@ def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> Da
 def spread(table: DataFrame, *keys: str) -> DataFrame:
     """``table`` over all cores, by hash of ``keys`` if any, when it has fewer splits than there are cores.
 
-    For small files before heavy work per row. Large inputs have more splits than the cluster has
-    cores and pass through unchanged, without a shuffle.
+    For tables straight from small files, before heavy work per row. Large inputs have more splits
+    than the cluster has cores and pass through unchanged, without a shuffle.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
     return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table

@@ -96,6 +96,10 @@ def test_training_rows_keep_large_tables_apart(spark, monkeypatch):
     monkeypatch.setattr(est, "ROWS_PER_TASK", 1)
     with est.training_rows(points) as rows:
         assert rows.rdd.getNumPartitions() == 4
+    with est.training_rows(points.coalesce(1)) as rows:
+        assert rows.rdd.getNumPartitions() == 4 and rows.count() == 15
+    with est.training_rows(points.repartition(6)) as rows:
+        assert rows.rdd.getNumPartitions() == 6
 
 
 def test_search(spark, three_classes):

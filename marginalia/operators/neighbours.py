@@ -45,11 +45,12 @@ def nearest(
     cells = staged(_assign(train.select("id", _numbers(width), "label"), centres, k))
     shape = _cell_shape(cells)
     homes = staged(_assign(test.select("id", _numbers(width)), centres, k, shape))
-    first = staged(_top(_search(cells, homes.withColumn("cells", F.array("cell")), k, block_rows), k))
+    first = _top(_search(cells, homes.withColumn("cells", F.array("cell")), k, block_rows), k)
 
     if len(shape[0]) == 1:
         return _result(first)
 
+    first = staged(first)
     known = first.groupBy("test_id").agg(F.max("squared").alias("worst"), F.count("*").alias("found"))
     bounded = homes.join(known, homes["id"] == known["test_id"], "left").select(homes["*"], "worst", "found")
     onward = staged(_route(bounded, centres, shape, k))

@@ -77,6 +77,16 @@ def test_majority_prefers_the_smaller_label_on_ties(spark):
     assert sorted(map(tuple, majority(df).collect())) == [(1, 1.0), (2, 2.0)]
 
 
+def test_names_as_ids_and_labels(spark):
+    rng = np.random.default_rng(6)
+    train = [(f"row {i}", [float(v) for v in rng.integers(0, 5, 2)], "even" if i % 2 == 0 else "odd") for i in range(60)]
+    test = [(f"test {i}", [float(v) for v in rng.integers(0, 5, 2)]) for i in range(15)]
+    train_df = spark.createDataFrame(train, "id string, features array<double>, label string")
+    test_df = spark.createDataFrame(test, "id string, features array<double>")
+    got = sorted(map(tuple, nearest(train_df, test_df, 3, block_rows=10).collect()))
+    same(got, brute(train, test, 3))
+
+
 def test_no_training_rows(spark):
     train, test = tables(spark, [(0, [1.0], 0.0)], [(1, [1.0])])
     with pytest.raises(ValueError, match="no training rows"):

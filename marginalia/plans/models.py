@@ -101,6 +101,18 @@ def comparison_table(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.comparison(reports, list(datasets))
 
 
+def nb_flag_pi(spark: SparkSession, folder: str) -> DataFrame:
+    points = flag_points(spark, folder)
+    rows = est.naive_bayes_priors(est.fit(est.naive_bayes(), points), points)
+    return rows.select("label", F.round("pi", 6).alias("pi"))
+
+
+def nb_flag_theta(spark: SparkSession, folder: str) -> DataFrame:
+    points = flag_points(spark, folder)
+    rows = est.naive_bayes_likelihoods(est.fit(est.naive_bayes(), points), points, FLAG_FEATURES)
+    return rows.select("label", "feature", F.round("theta", 6).alias("theta"))
+
+
 def key_split_counts(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders", "o_orderkey")
     return key_split(orders, "o_orderkey").groupBy("split").agg(F.count("*").alias("n"))
@@ -131,6 +143,8 @@ QUERIES = {
     "random_split_counts": random_split_counts,
     "sample_key": sample_key,
     "measurements_csv": measurements_csv,
+    "nb_flag_pi": nb_flag_pi,
+    "nb_flag_theta": nb_flag_theta,
     "tree_accuracy": _accuracy(est.decision_tree),
     "tree_rules": tree_rules,
     "logreg_accuracy": _accuracy(est.logistic_regression),
@@ -148,6 +162,11 @@ def _bucket_sql(key: str, buckets: int) -> str:
     return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % {buckets}"
 
 
+_FLAGS_SQL = """flags AS (
+  SELECT l_returnflag, CAST(row_number() OVER (ORDER BY l_returnflag) - 1 AS DOUBLE) AS label
+  FROM (SELECT DISTINCT l_returnflag FROM lineitem)
+)"""
+
 ORACLES = {
     "row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS name, count(*) AS n FROM {name}"
@@ -156,12 +175,21 @@ ORACLES = {
     "key_split_counts": f"""SELECT CASE WHEN {_bucket_sql('o_orderkey', 4)} < 3 THEN 'train' ELSE 'test' END AS split,
       count(*) AS n FROM orders GROUP BY 1""",
     "sample_key": f"SELECT c_custkey, c_mktsegment FROM customer WHERE {_bucket_sql('c_custkey', 5)} < 1",
-    "measurements_csv": f"""WITH flags AS (
-        SELECT l_returnflag, CAST(row_number() OVER (ORDER BY l_returnflag) - 1 AS DOUBLE) AS label
-        FROM (SELECT DISTINCT l_returnflag FROM lineitem)
-      )
+    "measurements_csv": f"""WITH {_FLAGS_SQL}
       SELECT label, count(*) AS n, {', '.join(f'round(sum({c}), 4) AS sum_{c}' for c in FLAG_FEATURES)}
       FROM lineitem JOIN flags USING (l_returnflag) GROUP BY label""",
+    "nb_flag_pi": f"""WITH {_FLAGS_SQL},
+      classes AS (SELECT label, count(*) AS n FROM lineitem JOIN flags USING (l_returnflag) GROUP BY label)
+      SELECT label, round(ln(n + 1.0) - ln(sum(n) OVER () + 1.0 * count(*) OVER ()), 6) AS pi FROM classes""",
+    "nb_flag_theta": f"""WITH {_FLAGS_SQL},
+      cells AS (
+        UNPIVOT (SELECT label, {', '.join(FLAG_FEATURES)} FROM lineitem JOIN flags USING (l_returnflag))
+        ON {', '.join(FLAG_FEATURES)} INTO NAME feature VALUE x
+      ),
+      sums AS (SELECT label, feature, sum(x) AS s FROM cells GROUP BY label, feature)
+      SELECT label, feature,
+             round(ln(s + 1.0) - ln(sum(s) OVER (PARTITION BY label) + {len(FLAG_FEATURES)}.0), 6) AS theta
+      FROM sums""",
     "english_auc": f"""WITH {language._POINTS_SQL},
       scores AS (
         SELECT CASE WHEN label = 1 THEN 1 ELSE 0 END AS label,

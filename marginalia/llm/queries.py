@@ -105,7 +105,7 @@ QUERIES = {
     )
 }
 
-_WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '{no_word}'), x -> x <> '')".format(
+_WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '{no_word}'), lambda x: x <> '')".format(
     upper=UPPER, lower=LOWER, no_word=NO_WORD
 )
 

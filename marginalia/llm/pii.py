@@ -238,7 +238,7 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPO
     found = staged(found.select(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), "found"))
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["p_id"]) & (key == found["p_th"]), "left")
-    renamed = F.col("found")
+    renamed = found["found"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

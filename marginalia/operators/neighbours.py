@@ -40,7 +40,7 @@ def nearest(
     width = width_of(train)
     if width == 0:
         raise ValueError("no training rows")
-    centres = _choose_pivots(train, width, block_rows, pivots)
+    centres = _choose_pivots(train, width, pivots)
 
     cells = staged(_assign(train.select("id", _numbers(width), "label"), centres, k))
     shape = _cell_shape(cells)
@@ -81,14 +81,13 @@ def _numbers(width: int):
     return checked(F.col("features").cast("array<double>"), width).alias("features")
 
 
-def _choose_pivots(train: DataFrame, width: int, block_rows: int, pivots: int | None) -> np.ndarray:
-    """Training vectors drawn by hash of the id: sqrt(n), but no more than two per block of rows.
+def _choose_pivots(train: DataFrame, width: int, pivots: int | None) -> np.ndarray:
+    """Training vectors drawn by hash of the id: ``pivots``, or sqrt(n) of them.
 
-    Few rows need no cells, and cells much smaller than a block only add visits. ``PIVOT_BYTES``
-    bounds what the driver and every task hold.
+    ``PIVOT_BYTES`` bounds what the driver and every task hold.
     """
     rows = train.count()
-    wanted = pivots or min(math.ceil(math.sqrt(rows)), 2 * rows // block_rows)
+    wanted = pivots or math.ceil(math.sqrt(rows))
     wanted = max(1, min(wanted, rows, PIVOT_BYTES // (8 * width)))
     share = min(1.0, 1.5 * wanted / rows)
     threshold = int((share - 0.5) * 2**64)
@@ -120,8 +119,7 @@ def _chunks(rows: int, columns: int) -> Iterator[slice]:
 
 
 def _assign(df: DataFrame, centres: np.ndarray, k: int, shape=None) -> DataFrame:
-    """Add the nearest pivot's ``cell``, its distance ``near``, a bound ``reach`` for the k-th neighbour
-    and ``turn``, the row's number within its task, which deals rows out evenly.
+    """Add the nearest pivot's ``cell``, its distance ``near`` and a bound ``reach`` for the k-th neighbour.
 
     With ``shape``, only cells that hold training rows are assigned.
     """
@@ -129,7 +127,7 @@ def _assign(df: DataFrame, centres: np.ndarray, k: int, shape=None) -> DataFrame
     empty = None if shape is None else np.flatnonzero(shape[0] == 0)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, turn = shared.value, 0
+        pivots = shared.value
         for batch in batches:
             x = _matrix(batch, "features", pivots.shape[1])
             cell, near, reach = np.empty(len(x), np.int32), np.empty(len(x)), np.full(len(x), np.inf)
@@ -142,14 +140,12 @@ def _assign(df: DataFrame, centres: np.ndarray, k: int, shape=None) -> DataFrame
                     d[:, empty] = np.inf
                 cell[part] = d.argmin(1)
                 near[part] = d.min(1)
-            turns = pa.array(np.arange(turn, turn + len(x)))
-            turn += len(x)
             for name, values in (("cell", cell), ("near", near), ("reach", reach)):
                 batch = batch.append_column(name, pa.array(values))
-            yield batch.append_column("turn", turns)
+            yield batch
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(assign, f"{columns}, cell int, near double, reach double, turn bigint")
+    return df.mapInArrow(assign, f"{columns}, cell int, near double, reach double")
 
 
 def _cell_shape(cells: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,7 +162,7 @@ def _cell_shape(cells: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _route(bounded: DataFrame, centres: np.ndarray, shape, k: int) -> DataFrame:
-    """``(id, features, turn, cells)``: the further cells in which a test row may still have a neighbour."""
+    """``(id, features, cells)``: the further cells in which a test row may still have a neighbour."""
     shared = bounded.sparkSession.sparkContext.broadcast((centres, *shape))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,13 +190,13 @@ def _route(bounded: DataFrame, centres: np.ndarray, shape, k: int) -> DataFrame:
                 visit[np.arange(len(own)), own] = False
                 cells += [np.flatnonzero(row).astype(np.int32) for row in visit]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("features"), batch.column("turn"),
+                [batch.column("id"), batch.column("features"),
                  pa.array(cells, pa.list_(pa.int32()))],
-                ["id", "features", "turn", "cells"],
+                ["id", "features", "cells"],
             )
 
     id_type = bounded.schema["id"].dataType.simpleString()
-    routed = bounded.mapInArrow(route, f"id {id_type}, features array<double>, turn bigint, cells array<int>")
+    routed = bounded.mapInArrow(route, f"id {id_type}, features array<double>, cells array<int>")
     return routed.filter(F.size("cells") > 0)
 
 
@@ -208,9 +204,9 @@ def _search(cells: DataFrame, routed: DataFrame, k: int, block_rows: int) -> Dat
     """``(test_id, train_id, label, squared)``: per test row and block, the k nearest in the block.
 
     A cell with n training rows and m visitors becomes ceil(n / block_rows) x ceil(m / block_rows)
-    blocks.
+    blocks; the hash of the id deals rows out, whatever their order.
     """
-    visits = routed.select("id", "features", "turn", F.explode("cells").alias("cell"))
+    visits = routed.select("id", "features", F.explode("cells").alias("cell"))
     have = cells.groupBy("cell").agg(F.count("*").alias("n"))
     want = visits.groupBy("cell").agg(F.count("*").alias("m"))
     pieces = have.join(want, "cell").select(
@@ -225,13 +221,13 @@ def _search(cells: DataFrame, routed: DataFrame, k: int, block_rows: int) -> Dat
 
     left = (
         cells.join(plan, "cell")
-        .withColumn("slice", F.pmod(F.col("turn"), F.col("slices")).cast("int"))
+        .withColumn("slice", F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int"))
         .withColumn("part", every("parts"))
         .select("cell", "slice", "part", F.col("id").alias("train_id"), "label", "features")
     )
     right = (
         visits.join(plan, "cell")
-        .withColumn("part", F.pmod(F.col("turn"), F.col("parts")).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("parts")).cast("int"))
         .withColumn("slice", every("slices"))
         .select("cell", "slice", "part", F.col("id").alias("test_id"), "features")
     )

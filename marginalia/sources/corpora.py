@@ -10,10 +10,11 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(line_no, value)``, counted from 0 in file order (files by path, then by position).
 
     Each input split counts its own lines, the counts (one row per split) become starting
-    numbers, and a line's number is its split's start plus its place in the split. The lines
-    themselves are not shuffled or sorted.
+    numbers, and a line's number is its split's start plus its place in the split. Only a line feed
+    ends a line. The lines are not sorted to number them; the join with the starting numbers shuffles them
+    unless Spark finds the small side broadcastable.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.option("lineSep", "\n").text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

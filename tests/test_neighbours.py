@@ -97,3 +97,16 @@ def test_bad_vectors_fail(spark):
     train, test = tables(spark, [(0, [1.0, 2.0], 0.0)], [(1, [1.0])])
     with pytest.raises(Exception, match="2 numbers"):
         nearest(train, test, 1).collect()
+
+
+def test_slices_do_not_follow_the_order_of_rows(spark):
+    """Clusters that repeat with the row order still give blocks near ``block_rows``."""
+    from marginalia.operators import neighbours
+    from pyspark.sql import functions as F
+
+    rows = [(i, [float(100 * (i % 10)), float(i) / 1e4], 0) for i in range(5000)]
+    train = spark.createDataFrame(rows, "id bigint, features array<double>, label int")
+    sliced = train.withColumn("slice", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(50)))
+    assert sliced.groupBy((F.col("id") % 10).alias("cell"), "slice").count().agg(F.max("count")).first()[0] < 40
+    near = neighbours.nearest(train, train.filter("id < 20"), 2, block_rows=100)
+    assert {(r.test_id, r.train_id) for r in near.filter("rank = 1").collect()} == {(i, i) for i in range(20)}

@@ -92,9 +92,9 @@ def small_splits(spark):
 def test_numbered_lines(spark, tmp_path, small_splits):
     folder = tmp_path / "lines"
     folder.mkdir()
-    first = [f"a{i}" + "x" * (i % 17) for i in range(200)]
+    first = [f"a{i}" + "x\r" * (i % 17) for i in range(200)]
     second = [f"b{i}" for i in range(50)]
-    (folder / "1.txt").write_text("\n".join(first))
+    (folder / "1.txt").write_bytes("\n".join(first).encode())
     (folder / "2.txt").write_text("\n".join(second))
     assert spark.read.text(str(folder)).rdd.getNumPartitions() > 10
     lines = numbered_lines(spark, str(folder))
@@ -104,7 +104,7 @@ def test_numbered_lines(spark, tmp_path, small_splits):
 
 
 def test_tagged_corpus(spark, tmp_path, small_splits):
-    chars = ["将物联网", "大数据", "好"] * 30
+    chars = ["看山川河", "好天气", "雨"] * 30
     tags = ["SBME", "BME", "S"] * 30
     (tmp_path / "chars.txt").write_text("\n".join(chars), encoding="utf-8")
     (tmp_path / "tags.txt").write_text("\n".join(tags))
@@ -114,7 +114,7 @@ def test_tagged_corpus(spark, tmp_path, small_splits):
 
 @pytest.mark.parametrize("tags", ["SBME\nBE", "SBME", "SBME\nBME\nS"])
 def test_unaligned_corpus_fails(spark, tmp_path, tags):
-    (tmp_path / "chars.txt").write_text("将物联网\n大数据", encoding="utf-8")
+    (tmp_path / "chars.txt").write_text("看山川河\n好天气", encoding="utf-8")
     (tmp_path / "tags.txt").write_text(tags)
     with pytest.raises(Exception, match="without equally long partner"):
         read_tagged_corpus(spark, str(tmp_path / "chars.txt"), str(tmp_path / "tags.txt")).collect()

@@ -71,7 +71,10 @@ def find_items(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame
         places.groupBy("doc_id", "th").agg(F.collect_set(place).alias("places"))
         .select(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), "places")
     )
-    joined = own.join(proposed, own["doc_id"].eqNullSafe(proposed["p_id"]) & (own["th"] == proposed["p_th"]), "left")
+    # Texts are smaller to move than their words, so they are cut again behind the join.
+    texts = id_and_text(docs).withColumn("th", text_key(F.col("text")))
+    met = texts.join(proposed, texts["doc_id"].eqNullSafe(proposed["p_id"]) & (texts["th"] == proposed["p_th"]), "left")
+    joined = met.select("doc_id", "th", word_array(F.col("text")).alias("w"), "places")
     none = F.array().cast("array<struct<start: int, words: array<string>, item_ids: array<string>>>")
     true = F.filter(
         F.coalesce("places", none),

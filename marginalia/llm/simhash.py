@@ -9,6 +9,12 @@ within the radius of each other, and links between neighbours in order connect t
 Fingerprints may have several blocks, which are compared one by one: then documents are candidates when
 any block is within the radius, and the caller verifies them on their texts.
 
+No ball of a feasible size holds texts of a five-word similarity of 0.8: they differ in about ten of 64 bits, and
+half of that has eight million variants. ``near_copies`` therefore adds candidates from bands of min-wise shingle hashes to those
+of the ball, and verifies all by exact Jaccard similarity of their texts' shingle sets. A pair at the least similarity shares
+one of the bands with a chance of 99.8 %. In a bucket each text meets the text that shares most bands with others (for
+copies of one text, that text) and three neighbours in that order, never all others.
+
 Null and empty texts have the fingerprint zero and link like any other. Rows that repeat an id are one document;
 a null id keeps its row but names no component, unless nothing in the component has an id. An empty table gives an empty
 table; only id and text are read; texts are processed whole.
@@ -31,11 +37,21 @@ from marginalia.operators.staging import staged
 
 #: A-Z to lower case, bytes else as they are.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Bands of min-wise hashes and hashes in each.
+BANDS, ROWS = 16, 5
+#: Odd numbers, each of which permutes 64-bit hashes.
+MULTIPLIERS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Neighbours that a text meets in a bucket, and about how many texts are sorted together.
+NEIGHBOURS, CROWD = 3, 1000
+
+
+def lower_words(text: str | None) -> list[bytes]:
+    return text.encode().translate(LOWER).split() if text else []
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     """Unsigned XXH64 (seed 42) of all runs of ``size`` words, repeats included; of all words if fewer."""
-    words = text.encode().translate(LOWER).split() if text else []
+    words = lower_words(text)
     if not words:
         return np.zeros(0, np.uint64)
     whole = b" ".join(words)
@@ -111,9 +127,129 @@ def near_duplicates(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFra
     return marked.join(classes(marked, radius), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose document names its component, with all their columns; rows without an id stay."""
+def min_wise(hashes: np.ndarray) -> np.ndarray:
+    """The smallest of the hashes under each of ``BANDS * ROWS`` permutations."""
+    return np.array([(hashes * m).min() for m in MULTIPLIERS], np.uint64)
+
+
+def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
+    """``(doc_id, fp, same, bands, sig)`` of every row: SimHash, hash of the words, one hash per band, a byte per minimum."""
+    schema = "doc_id bigint, fp bigint, same bigint, bands array<bigint>, sig binary"
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {name: [] for name in arrow.names}
+            out["doc_id"] = batch.column(0).to_pylist()
+            for value in batch.column(1):
+                text = value.as_py()
+                hashes = shingle_hashes(text, words)
+                least = min_wise(hashes) if len(hashes) else np.zeros(0, np.uint64)
+                out["fp"].append(signed(majority(hashes)))
+                out["same"].append(signed(xxhash.xxh64_intdigest(b" ".join(lower_words(text)), 7)))
+                rows = least.reshape(-1, ROWS)
+                out["bands"].append([signed(xxhash.xxh64_intdigest(r.tobytes(), j)) for j, r in enumerate(rows)])
+                out["sig"].append((least & np.uint64(255)).astype(np.uint8).tobytes())
+            yield batches_of(out, arrow)
+
+    return id_and_text(docs).mapInArrow(run, schema)
+
+
+def met_in_bands(distinct: DataFrame) -> DataFrame:
+    """``(a, b)`` of texts of ``distinct(id, bands)`` that meet in a bucket of a band; pairs may repeat."""
+    rows = distinct.select("id", F.explode("bands").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = staged(rows.join(sizes, "key"))
+    ranked = staged(shared.join(shared.groupBy("id").agg(F.sum("n").alias("weight")), "id"))
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("hub"))
+    star = ranked.join(hubs, "key").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    # A crowded bucket is cut by a hash of the id, so that no task sorts all of it.
+    part = F.pmod(F.xxhash64("id"), F.floor(F.col("n") / CROWD) + 1)
+    order = Window.partitionBy("key", "part").orderBy(F.desc("weight"), "id")
+    near = [F.lag("id", k).over(order) for k in range(1, NEIGHBOURS + 1)]
+    chained = ranked.withColumn("part", part).select(F.array(*near).alias("near"), F.col("id").alias("b"))
+    chain = chained.select(F.explode("near").alias("a"), "b")
+    return star.union(chain.filter("a is not null"))
+
+
+def met_in_balls(distinct: DataFrame, radius: int) -> DataFrame:
+    """``(a, b)`` of texts of ``distinct(id, fp)`` whose fingerprints are within the radius, as a chain or star."""
+    firsts = staged(distinct.groupBy("fp").agg(F.min("id").alias("first")))
+    linked = links(firsts.select("fp"), radius)
+    left = firsts.select(F.col("fp").alias("a"), F.col("first").alias("first_a"))
+    right = firsts.select(F.col("fp").alias("b"), F.col("first").alias("first_b"))
+    between = linked.join(left, "a").join(right, "b").select("first_a", "first_b")
+    return distinct.join(firsts, "fp").select("first", "id").union(between).toDF("a", "b")
+
+
+def likely(pairs: DataFrame, distinct: DataFrame, least: float) -> DataFrame:
+    """The ``(a, b)`` whose signatures agree in a share of ``least`` places."""
+    left = distinct.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
+    right = distinct.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
+    schema = "a bigint, b bigint"
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8) for k in (2, 3)]
+            agree = (sides[0] == sides[1]).reshape(batch.num_rows, -1).mean(1) if batch.num_rows else np.zeros(0)
+            chosen = batch.filter(pa.array(agree >= least))
+            yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], schema=arrow)
+
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b")
+    return met.filter("length(sig_a) > 0 and length(sig_b) > 0").mapInArrow(run, schema)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The ``(a, b)`` of which a text of each has at least this Jaccard similarity of shingle sets."""
+    wanted = staged(pairs.select("a").union(pairs.select("b")).distinct().toDF("k_id"))
     own = id_and_text(docs)
-    found = staged(near_duplicates(own.filter("doc_id is not null"), radius, words))
-    others = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("k_id")).distinct()
+    # Equal rows of one id are one text; dealt by id once, for this and for the joins.
+    texts = (
+        own.join(wanted, own["doc_id"] == wanted["k_id"], "left_semi")
+        .repartition(F.col("doc_id")).dropDuplicates(["doc_id", "text"])
+    )
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    schema = "a bigint, b bigint"
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                one, two = (np.unique(shingle_hashes(t.as_py(), words)) for t in (x, y))
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                good.append(shared > 0 and shared >= similarity * (len(one) + len(two) - shared))
+            chosen = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], schema=arrow)
+
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return met.mapInArrow(run, schema).distinct()
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2) -> DataFrame:
+    """``(doc_id, component_id)`` of every row with an id: texts with equal lower-cased words are linked, and texts whose
+    shingle sets have at least this similarity; the component is named by its smallest doc_id."""
+    own = id_and_text(docs).filter("doc_id is not null")
+    marked = staged(sketches(own, words))
+    same = ("same", "fp")
+    distinct = staged(
+        marked.groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    )
+    met = met_in_bands(distinct).union(met_in_balls(distinct, radius)).filter("a <> b")
+    pairs = staged(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    near = staged(likely(pairs, distinct, similarity - 0.2).distinct())
+    rooted = components(staged(verified(near, own, words, similarity)))
+    named = distinct.join(rooted, distinct["id"] == rooted["node"], "left").select(
+        *same, F.coalesce("root", "id").alias("component_id")
+    )
+    return marked.select("doc_id", *same).join(staged(named), list(same)).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` whose document names its component of near copies, with all their columns; rows without
+    an id stay."""
+    others = near_copies(docs, words, similarity).filter("component_id <> doc_id").select(F.col("doc_id").alias("k_id"))
+    others = staged(others.distinct())
     return docs.join(others, docs["doc_id"] == others["k_id"], "left_anti")

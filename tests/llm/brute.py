@@ -77,6 +77,29 @@ def groups(marks, radius):
     return [(i, m, first[find(m)]) for i, m in marks]
 
 
+def near_groups(docs, size=5, similarity=0.8):
+    """Smallest id of the component of every id: equal words, or sets of word runs of at least this Jaccard similarity."""
+    sets = {}
+    for i, text in docs:
+        own = lower(text).encode().split()
+        sets[i] = frozenset(tuple(own[k : k + size]) for k in range(max(1, len(own) - size + 1)))
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            shared = len(sets[a] & sets[b])
+            if shared and shared >= similarity * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
 def archive(pages):
     top = {}
     for page_id, html in pages:

@@ -42,6 +42,9 @@ WORD = re.compile(r"[^\W\d_]{2,}")
 #: Words on either side of a find that are near it, and characters in which they are looked for.
 NEAR_WORDS, NEAR_CHARS = 6, 120
 THRESHOLD, SUPPORT, WHOLLY = 0.9, 3, 0.999
+#: What every text with a find contains (for Spark's own pattern matcher); most texts do not.
+MAY_HOLD = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|\+[0-9]|([0-9][\x20-]?){12}"
+
 #: Different words a task counts before it hands its counts on.
 HELD_WORDS = 200_000
 
@@ -236,8 +239,11 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPO
     found = personal_data(docs, threshold, support).filter("size(finds) > 0")
     found = found.groupBy("doc_id", "th").agg(F.min(F.struct("finds", "terms")).alias("found"))
     found = staged(found.select(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), "found"))
-    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["p_id"]) & (key == found["p_th"]), "left")
+    # Only texts that may hold a find go through the join; the others, most of all, stay where they are.
+    may = F.coalesce(docs["text"].rlike(MAY_HOLD), F.lit(False))
+    held = docs.filter(may)
+    key = F.xxhash64(F.coalesce(held["text"], F.lit("")))
+    joined = held.join(found, held["doc_id"].eqNullSafe(found["p_id"]) & (key == found["p_th"]), "left")
     renamed = found["found"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,4 +255,5 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPO
             columns[at] = pa.array(own, type=batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return joined.select(*[docs[c] for c in docs.columns], renamed.alias("_found")).mapInArrow(run, docs.schema)
+    replaced = joined.select(*[held[c] for c in docs.columns], renamed.alias("_found")).mapInArrow(run, docs.schema)
+    return docs.filter(~may).union(replaced)

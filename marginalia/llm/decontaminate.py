@@ -38,7 +38,8 @@ def item_windows(items: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def prefixes(windows: DataFrame, documents: DataFrame) -> DataFrame:
-    """``windows`` with their rarest word over all documents and its first place: ``(word, off, words, item_ids)``."""
+    """``windows`` with their rarest word over all documents, its first place and the words beside it:
+    ``(word, off, words, item_ids, l_before, l_after)``."""
     parts = windows.select("words", "item_ids", F.posexplode("words").alias("off", "word"))
     wanted = staged(parts.select("word").distinct())
     counts = documents.select(F.explode("w").alias("word")).join(wanted, "word").groupBy("word").count()
@@ -46,7 +47,9 @@ def prefixes(windows: DataFrame, documents: DataFrame) -> DataFrame:
     order = Window.partitionBy("words").orderBy("n", "word", "off")
     rarest = counted.withColumn("rank", F.row_number().over(order)).filter("rank = 1")
     # A word that no document holds leads nowhere.
-    return rarest.filter("n > 0").select("word", "off", "words", "item_ids")
+    at = F.col("off")
+    before, after = F.when(at > 0, F.get("words", at - F.lit(1))), F.get("words", at + F.lit(1))
+    return rarest.filter("n > 0").select("word", "off", "words", "item_ids", before.alias("l_before"), after.alias("l_after"))
 
 
 def find_items(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
@@ -58,16 +61,25 @@ def find_items(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame
         F.col("doc_id"), text_key(F.col("text")).alias("th"), word_array(F.col("text")).alias("w")
     )
     lead = staged(prefixes(item_windows(items, size), own))
-    at = own.select("doc_id", "th", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
+    beside = F.transform(
+        "w",
+        lambda x, i: F.struct(
+            x.alias("word"), F.when(i > 0, F.get("w", i - F.lit(1))).alias("before"), F.get("w", i + F.lit(1)).alias("after")
+        ),
+    )
+    at = own.select("doc_id", "th", F.size("w").alias("n"), F.posexplode(beside).alias("pos", "x"))
+    at = at.select("doc_id", "th", "n", "pos", "x.*")
     words = staged(lead.select("word").distinct())
     held = at.join(words, "word")
+    # The words beside the prefix must be those of the window as well: nearly all that is left is true.
     places = (
         held.join(lead, "word")
+        .filter("(l_before is null or l_before = before) and (l_after is null or l_after = after)")
         .select("doc_id", "th", "n", (F.col("pos") - F.col("off")).alias("start"), "words", "item_ids")
         .filter("start >= 0 and start + size(words) <= n")
     )
     place = F.struct("start", "words", "item_ids")
-    proposed = (
+    proposed = staged(
         places.groupBy("doc_id", "th").agg(F.collect_set(place).alias("places"))
         .select(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), "places")
     )

@@ -12,8 +12,11 @@ any block is within the radius, and the caller verifies them on their texts.
 No ball of a feasible size holds texts of a five-word similarity of 0.8: they differ in about ten of 64 bits, and
 half of that has eight million variants. ``near_copies`` therefore adds candidates from bands of min-wise shingle hashes to those
 of the ball, and verifies all by exact Jaccard similarity of their texts' shingle sets. A pair at the least similarity shares
-one of the bands with a chance of 99.8 %. In a bucket each text meets the text that shares most bands with others (for
-copies of one text, that text) and three neighbours in that order, never all others.
+one of the bands with a chance of 99.8 %. In a bucket each text first meets the text that shares most bands with others (for
+copies of one text, that text), which joins a crowd of copies without its pairs. Texts of buckets that are then
+still in several components are compared by a prefix-filtered join: a pair of the least similarity shares one of the rarest fifth of
+either's shingles, which texts with many shingles of their own never do. So no two texts that share a band stay
+apart unverified, and none meets all of its crowd.
 
 Null and empty texts have the fingerprint zero and link like any other. Rows that repeat an id are one document;
 a null id keeps its row but names no component, unless nothing in the component has an id. An empty table gives an empty
@@ -28,10 +31,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import arrow_schema, batches_of, id_and_text
+from marginalia.llm.common import arrow_schema, batches_of, id_and_text, text_hash
 from marginalia.llm.components import components
 from marginalia.operators.staging import staged
 
@@ -41,8 +44,8 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BANDS, ROWS = 16, 5
 #: Odd numbers, each of which permutes 64-bit hashes.
 MULTIPLIERS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Neighbours that a text meets in a bucket, and about how many texts are sorted together.
-NEIGHBOURS, CROWD = 3, 1000
+#: About how many texts of a bucket meet in one task.
+CROWD = 10_000
 
 
 def lower_words(text: str | None) -> list[bytes]:
@@ -133,8 +136,9 @@ def min_wise(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
-    """``(doc_id, fp, same, bands, sig)`` of every row: SimHash, hash of the words, one hash per band, a byte per minimum."""
-    schema = "doc_id bigint, fp bigint, same bigint, bands array<bigint>, sig binary"
+    """``(doc_id, fp, same, units, bands, sig)`` of every row: SimHash, hash of the words, number of different shingles,
+    one hash per band, a byte per minimum."""
+    schema = "doc_id bigint, fp bigint, same bigint, units int, bands array<bigint>, sig binary"
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,6 +151,7 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
                 least = min_wise(hashes) if len(hashes) else np.zeros(0, np.uint64)
                 out["fp"].append(signed(majority(hashes)))
                 out["same"].append(signed(xxhash.xxh64_intdigest(b" ".join(lower_words(text)), 7)))
+                out["units"].append(len(np.unique(hashes)))
                 rows = least.reshape(-1, ROWS)
                 out["bands"].append([signed(xxhash.xxh64_intdigest(r.tobytes(), j)) for j, r in enumerate(rows)])
                 out["sig"].append((least & np.uint64(255)).astype(np.uint8).tobytes())
@@ -155,21 +160,82 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, schema)
 
 
-def met_in_bands(distinct: DataFrame) -> DataFrame:
-    """``(a, b)`` of texts of ``distinct(id, bands)`` that meet in a bucket of a band; pairs may repeat."""
-    rows = distinct.select("id", F.explode("bands").alias("key"))
+def buckets(distinct: DataFrame) -> DataFrame:
+    """``(key, n, part, id, units)``: the texts of ``distinct(id, units, bands)`` in each bucket that at least two share.
+
+    ``n`` is the bucket's size; ``part`` deals a crowded bucket over several tasks by a hash of the id.
+    """
+    rows = distinct.select("id", "units", F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = staged(rows.join(sizes, "key"))
-    ranked = staged(shared.join(shared.groupBy("id").agg(F.sum("n").alias("weight")), "id"))
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("hub"))
-    star = ranked.join(hubs, "key").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    # A crowded bucket is cut by a hash of the id, so that no task sorts all of it.
-    part = F.pmod(F.xxhash64("id"), F.floor(F.col("n") / CROWD) + 1)
-    order = Window.partitionBy("key", "part").orderBy(F.desc("weight"), "id")
-    near = [F.lag("id", k).over(order) for k in range(1, NEIGHBOURS + 1)]
-    chained = ranked.withColumn("part", part).select(F.array(*near).alias("near"), F.col("id").alias("b"))
-    chain = chained.select(F.explode("near").alias("a"), "b")
-    return star.union(chain.filter("a is not null"))
+    return rows.join(sizes, "key").select("key", "n", F.pmod(F.xxhash64("id"), parts()).alias("part"), "id", "units")
+
+
+def parts() -> Column:
+    return F.floor(F.col("n") / CROWD) + 1
+
+
+def met_in_stars(shared: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: in each bucket all texts with the one that shares most bands with others; pairs may repeat."""
+    weights = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+    first = F.max(F.struct("weight", "id", "units", "n")).alias("h")
+    hubs = staged(shared.join(weights, "id").groupBy("key").agg(first).select("key", "h.n", "h.id", "h.units"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts() - 1)).alias("part")
+    dealt = hubs.select("key", every, F.col("id").alias("a"), F.col("units").alias("units_a"))
+    fits = F.least("units", "units_a") >= similarity * F.greatest("units", "units_a")
+    return shared.join(dealt, ["key", "part"]).filter(fits).select("a", F.col("id").alias("b"))
+
+
+def still_apart(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(id, root)`` of the texts in buckets of three or more whose texts are in several components."""
+    rooted = shared.filter("n > 2").join(labels.select(F.col("node").alias("id"), "root"), "id", "left")
+    rooted = rooted.select("key", "id", F.coalesce("root", "id").alias("root"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    return rooted.join(mixed.select("key"), "key").select("id", "root").distinct()
+
+
+def met_in_prefixes(apart: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``(a, b)`` of texts of ``apart(id, root)`` with different roots that may have this similarity; pairs may repeat.
+
+    Shingles are ordered by how many of these texts hold them. Of two texts that are similar enough, the prefixes, all
+    but the last ``similarity`` of the shingles and one more, have a shingle in common, and what is left behind their first
+    common one must suffice. Shingles that no other text holds come first and need not be joined.
+    """
+    own = id_and_text(docs)
+    texts = own.join(apart.select(F.col("id").alias("k_id")), own["doc_id"] == F.col("k_id"), "left_semi")
+    schema = "id bigint, t bigint, units int, hashes array<bigint>"
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {name: [] for name in arrow.names}
+            out["id"] = batch.column(0).to_pylist()
+            for value in batch.column(1):
+                text = value.as_py()
+                hashes = np.unique(shingle_hashes(text, words))
+                out["t"].append(text_hash(text))
+                out["units"].append(len(hashes))
+                out["hashes"].append(hashes.view(np.int64))
+            yield batches_of(out, arrow)
+
+    # An id may come with several texts; equal rows are one.
+    sets = staged(texts.mapInArrow(run, schema).dropDuplicates(["id", "t"]))
+    held = sets.select("id", "t", "units", F.explode("hashes").alias("h"))
+    counts = held.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    listed = held.join(counts, "h").groupBy("id", "t", "units").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("hs"))
+    alone = F.col("units") - F.size("hs")
+    prefix = F.col("units") - F.ceil(F.lit(similarity) * F.col("units") - 1e-6) + 1
+    marks = F.slice("hs", F.lit(1), F.greatest(F.lit(0), F.least(F.size("hs"), (prefix - alone).cast("int"))))
+    placed = listed.select("id", "units", alone.alias("alone"), F.posexplode(marks).alias("at", "m"))
+    # What is left from this shingle on, itself included.
+    left = (F.col("units") - F.col("alone") - F.col("at")).alias("rest")
+    own_part = F.pmod(F.xxhash64("id"), parts()).alias("part")
+    marked = staged(placed.select("id", "units", left, F.col("m.h").alias("h"), F.col("m.n").alias("n")).join(apart, "id"))
+    ones = marked.select("h", own_part, F.col("id").alias("b"), F.col("units").alias("units_b"), F.col("rest").alias("rest_b"), F.col("root").alias("root_b"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts() - 1)).alias("part")
+    others = marked.select("h", every, F.col("id").alias("a"), F.col("units").alias("units_a"), F.col("rest").alias("rest_a"), F.col("root").alias("root_a"))
+    needed = similarity / (1 + similarity) * (F.col("units_a") + F.col("units_b")) - 1e-6
+    fits = (F.least("rest_a", "rest_b") >= needed) & (F.col("root_a") < F.col("root_b"))
+    return ones.join(others, ["h", "part"]).filter(fits).select("a", "b")
 
 
 def met_in_balls(distinct: DataFrame, radius: int) -> DataFrame:
@@ -235,12 +301,21 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius
     marked = staged(sketches(own, words))
     same = ("same", "fp")
     distinct = staged(
-        marked.groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        marked.groupBy(*same).agg(
+            F.min("doc_id").alias("id"), F.first("units").alias("units"),
+        F.first("bands").alias("bands"), F.first("sig").alias("sig"),
+        )
     )
-    met = met_in_bands(distinct).union(met_in_balls(distinct, radius)).filter("a <> b")
-    pairs = staged(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    near = staged(likely(pairs, distinct, similarity - 0.2).distinct())
-    rooted = components(staged(verified(near, own, words, similarity)))
+    shared = staged(buckets(distinct))
+
+    def judged(met: DataFrame) -> DataFrame:
+        pairs = met.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        near = staged(likely(staged(pairs), distinct, similarity - 0.2).distinct())
+        return staged(verified(near, own, words, similarity))
+
+    edges = judged(met_in_stars(shared, similarity).union(met_in_balls(distinct, radius)))
+    apart = staged(still_apart(shared, components(edges)))
+    rooted = components(edges.union(judged(met_in_prefixes(apart, own, words, similarity))))
     named = distinct.join(rooted, distinct["id"] == rooted["node"], "left").select(
         *same, F.coalesce("root", "id").alias("component_id")
     )

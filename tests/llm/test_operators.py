@@ -344,3 +344,34 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark, docs):
     assert got == brute.near_groups(texts)
     kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, df, FOLDER).collect()}
     assert kept == set(got.values())
+
+
+def test_near_copies_in_crowds_of_texts_that_are_none(spark):
+    """Texts around one long passage share bands though they are not similar enough; pairs among them are."""
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(3000)]
+    passage = " ".join(draw.choice(words) for _ in range(300))
+    texts = []
+    for k in range(90):
+        tail = [draw.choice(words) for _ in range(draw.randrange(60, 110))]
+        texts.append((k, f"{passage} {' '.join(tail)}"))
+        if k % 3 == 0:
+            tail[-draw.randrange(1, 30) :] = [draw.choice(words)] * draw.randrange(1, 30)
+            texts.append((1000 + k, f"{passage} {' '.join(tail)}"))
+    texts += [(7, texts[0][1]), (7, texts[0][1]), (None, texts[0][1]), (2000, None), (2001, "")]
+    got = {(r.doc_id, r.component_id) for r in simhash.near_copies(spark.createDataFrame(texts, DOCS)).collect()}
+    named = [r for r in texts if r[0] is not None]
+    assert len({c for _, c in got}) > 20
+    assert {i for i, _ in got} == {i for i, _ in named}
+    once = [r for r in named if r[0] != 7]  # an id of two texts joins what either is like
+    alone = simhash.near_copies(spark.createDataFrame(once, DOCS)).collect()
+    assert {r.doc_id: r.component_id for r in alone} == brute.near_groups(once)
+
+
+def test_texts_with_finds_pass_the_pattern_that_deals_them():
+    import re
+
+    draw = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(draw.choice("0123456789.@+ -()ab") for _ in range(draw.randrange(40)))
+        assert not pii.base_finds(text) or re.search(pii.MAY_HOLD, text)

@@ -26,7 +26,7 @@ from marginalia.llm.common import arrow_schema, batches_of, id_and_text
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pre-tokens in a generation of what a task remembers.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 15
 #: The given pattern with its commonest alternative first and its runs possessive, which matches alike:
 #: no two of the alternatives before the white space can begin with the same characters.
 PATTERN = r""" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"""
@@ -142,16 +142,20 @@ def encode_texts(docs: DataFrame, path: str = VOCABULARY, with_ids: bool = True)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here forms cycles, and the many small tuples make collections slow
         codec = Codec(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                out: dict[str, list] = {name: [] for name in ("n_tokens", "ids", "ids_sha256", "decoded_sha256")}
-                for found in codec.encode(part.column(1).to_pylist()):
-                    out["n_tokens"].append(sum([e[0] for e in found]))
-                    out["ids"].append([i for e in found for i in e[3]] if with_ids else None)
-                    out["ids_sha256"].append(hashlib.sha256(",".join([e[1] for e in found]).encode()).hexdigest())
-                    out["decoded_sha256"].append(hashlib.sha256(b"".join([e[2] for e in found])).hexdigest())
-                out["doc_id"] = part.column(0).to_pylist()
-                yield batches_of(out, schema)
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, TOGETHER):
+                    part = batch.slice(at, TOGETHER)
+                    out: dict[str, list] = {name: [] for name in ("n_tokens", "ids", "ids_sha256", "decoded_sha256")}
+                    for found in codec.encode(part.column(1).to_pylist()):
+                        out["n_tokens"].append(sum([e[0] for e in found]))
+                        out["ids"].append([i for e in found for i in e[3]] if with_ids else None)
+                        out["ids_sha256"].append(hashlib.sha256(",".join([e[1] for e in found]).encode()).hexdigest())
+                        out["decoded_sha256"].append(hashlib.sha256(b"".join([e[2] for e in found])).hexdigest())
+                    out["doc_id"] = part.column(0).to_pylist()
+                    yield batches_of(out, schema)
+        finally:  # the worker goes on to other tasks
+            gc.enable()
+            codec.young, codec.old = {}, {}
 
     return id_and_text(docs).mapInArrow(run, out_schema)

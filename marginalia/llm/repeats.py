@@ -18,7 +18,7 @@ row a batch. A task holds one bucket's stretches of different rank at most; stre
 A window is repeated when an equal one starts earlier: in a smaller doc_id, or in the same one at a smaller start. Every
 byte of a repeated window goes; overlaps count, and windows are judged on the given texts. Null counts as empty; a
 null id comes before all others; rows that repeat an id are one document, so none of them makes the same start in the
-other a repeat. Texts shorter than a window stay whole. An empty table gives an empty table; only id and text are read.
+other a repeat. Texts of any length are covered, long ones in overlapping pieces. Texts shorter than a window stay whole. An empty table gives an empty table; only id and text are read.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ from marginalia.operators.staging import staged
 LENGTH, SEED = 100, 32
 #: Bytes of text whose positions are hashed together, and windows that are compared together.
 HELD_BYTES, HELD_WINDOWS = 1 << 21, 1 << 20
+#: Bits of a key that hold a position; longer texts are cut into overlapping pieces.
+POSITION_BITS = 22
 #: Rows with one id are told apart by this much of their text's hash.
 TAG = 0xFFFF
 
@@ -87,13 +89,29 @@ def stretch_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return _mixed((total[end] - total[start]) * _powers(INVERSE, n)[start])
 
 
-def cover_runs(raw: np.ndarray, ends: np.ndarray, length: int = LENGTH, seed: int = SEED):
-    """(bucket, rank, first window, last window) of every run in texts that stand one after another in ``raw``."""
+def cover_runs(raw: np.ndarray, ends: np.ndarray, length: int = LENGTH, seed: int = SEED, bits: int = POSITION_BITS):
+    """(bucket, rank, first window, last window) of every run in texts that stand one after another in ``raw``.
+
+    Pieces of 2**bits bytes at most are taken by themselves, so that a sample's position within its piece fits the low
+    bits of a key. They overlap by length - 1 bytes: each window is whole in one of them, and a run ends with its piece."""
+    step = (1 << bits) - length + 1
+    if step < 1:
+        raise ValueError(f"pieces of 2**{bits} bytes hold no window of {length}")
+    parts = []
+    for at in range(0, max(len(raw) - length + 1, 1), step):
+        piece = raw[at : at + step + length - 1]
+        bucket, rank, first, last = _piece_runs(piece, np.clip(ends - at, 0, len(piece)), length, seed, bits)
+        parts.append((bucket, rank, first + at, last + at))
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _piece_runs(raw: np.ndarray, ends: np.ndarray, length: int, seed: int, bits: int):
     nothing = np.zeros(0, np.int64)
     if len(raw) < length:
         return nothing.astype(U), nothing.astype(U), nothing, nothing
+    low = U((1 << bits) - 1)
     seeds = _mixed(_spans(BYTE[raw], seed, lambda a, b, n: a * U(pow(BASE, n, 1 << 64)) + b))
-    keys = seeds & ~U(0xFFFFFF) | np.arange(len(seeds), dtype=U) & U(0xFFFFFF)
+    keys = seeds & ~low | np.arange(len(seeds), dtype=U)
     least = _spans(keys, length - seed + 1, lambda a, b, n: np.minimum(a, b))
     starts = np.concatenate(([0], ends[:-1]))
     window = np.zeros(len(raw) + 1, np.int64)
@@ -103,7 +121,7 @@ def cover_runs(raw: np.ndarray, ends: np.ndarray, length: int = LENGTH, seed: in
     at = np.flatnonzero(np.cumsum(window)[: len(least)])
     if not len(at):
         return nothing.astype(U), nothing.astype(U), nothing, nothing
-    sample = (least[at] & U(0xFFFFFF)).astype(np.int64)
+    sample = (least[at] & low).astype(np.int64)
     cut = np.flatnonzero((np.diff(sample) != 0) | (np.diff(at) != 1) | np.isin(at[1:], starts)) + 1
     first, last = at[np.concatenate(([0], cut))], at[np.concatenate((cut - 1, [len(at) - 1]))]
     sample = sample[np.concatenate(([0], cut))]
@@ -127,13 +145,13 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 RUNS = "bucket bigint, rank bigint, doc_id bigint, at bigint, tag int"
 
 
-def _runs(docs: DataFrame, length: int, seed: int) -> DataFrame:
+def _runs(docs: DataFrame, length: int, seed: int, bits: int) -> DataFrame:
     schema = arrow_schema(RUNS)
 
     def together(ids: list, texts: list[bytes], tags: list[int]) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum([len(t) for t in texts])
         raw = np.frombuffer(b"".join(texts), np.uint8)
-        bucket, rank, first, last = cover_runs(raw, ends, length, seed)
+        bucket, rank, first, last = cover_runs(raw, ends, length, seed, bits)
         if not len(bucket):
             return
         own = np.searchsorted(ends, first, side="right")
@@ -191,7 +209,7 @@ def _runs(docs: DataFrame, length: int, seed: int) -> DataFrame:
                 raw = text.encode()
                 if len(raw) < length:
                     continue
-                if len(raw) + held > (1 << 24) - 1 and held:
+                if len(raw) + held > 1 << bits and held:
                     yield from together(ids, texts, tags)
                     ids, texts, tags, held = [], [], [], 0
                 ids.append(doc_id.as_py())
@@ -308,10 +326,10 @@ def _compared(stretches: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, ddl)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, bits: int = POSITION_BITS) -> DataFrame:
     """``(doc_id, tag, spans array<bigint>)``: repeated stretches of each row that has any, as start << 32 | end."""
     own = id_and_text(docs)
-    found = staged(_ranked(_runs(own, length, seed), length))
+    found = staged(_ranked(_runs(own, length, seed, bits), length))
     tagged = own.select("doc_id", "text", text_key(F.col("text")).bitwiseAND(F.lit(TAG)).cast("int").alias("tag"))
     unlike = found.filter("kind = 1").select("bucket", "doc_id", "tag", "at")
     more = _compared(_stretches(tagged.filter("text is not null"), unlike, length), length)
@@ -319,14 +337,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     return spans.groupBy("doc_id", "tag").agg(F.collect_list("at").alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, bits: int = POSITION_BITS) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept binary)`` of every row of ``docs(doc_id, text)``."""
     ddl = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     schema = arrow_schema(ddl)
     own = id_and_text(docs).select(
         "doc_id", "text", text_key(F.col("text")).bitwiseAND(F.lit(TAG)).cast("int").alias("tag")
     )
-    spans = repeated_spans(docs, length, seed)
+    spans = repeated_spans(docs, length, seed, bits)
     spans = spans.select(F.col("doc_id").alias("s_id"), F.col("tag").alias("s_tag"), "spans")
     joined = own.join(spans, own["doc_id"].eqNullSafe(spans["s_id"]) & (own["tag"] == spans["s_tag"]), "left")
 

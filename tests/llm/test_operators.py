@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -230,6 +231,33 @@ def test_repeats_with_other_lengths(spark):
         assert rows(repeats.remove_repeats(df, length, seed), *columns) == sorted(brute.repeats(texts, length), key=repr)
 
 
+def test_repeats_in_texts_longer_than_positions_reach(spark):
+    draw = random.Random(9)
+    passages = ["".join(draw.choice("abcdefgh é") for _ in range(60)) for _ in range(6)]
+    texts = []
+    for k in range(12):
+        parts = ["".join(draw.choice("abcdefgh é") for _ in range(draw.randrange(5, 90))) for _ in range(12)]
+        texts.append((k, "".join(p + draw.choice(passages) for p in parts)))
+    df = spark.createDataFrame(texts, DOCS)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    expected = sorted(brute.repeats(texts, 20), key=repr)
+    for bits in (5, 7, 9):
+        assert rows(repeats.remove_repeats(df, 20, 7, bits), *columns) == expected
+
+
+def test_windows_past_16_mib_meet_their_equals():
+    draw = np.random.default_rng(2)
+    passage = draw.integers(0, 256, 400, np.uint8)
+    raw = draw.integers(0, 256, (1 << 24) + 5000, np.uint8)
+    places = [1000, 4 * ((1 << 22) - 99) - 200, (1 << 24) + 3000]  # the second is over the end of a piece
+    for p in places:
+        raw[p : p + len(passage)] = passage
+    bucket, _, first, last = repeats.cover_runs(raw, np.array([len(raw)]))
+    assert first[0] == 0 and last[-1] == len(raw) - repeats.LENGTH and (first[1:] == last[:-1] + 1).all()
+    met = [bucket[np.searchsorted(first, np.arange(p, p + 301), side="right") - 1] for p in places]
+    assert (met[0] == met[1]).all() and (met[0] == met[2]).all()
+
+
 def test_byte_bpe(spark, docs, hard, empty):
     codec = byte_bpe.Codec()
     own = tiktoken.Encoding("own", pat_str=byte_bpe.public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})

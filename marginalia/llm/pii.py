@@ -1,14 +1,16 @@
 """Personal data, and words that give it away.
 
-Base finds are patterns with checks. Beyond them, words that stand near a find are judged by how much they tell
-of it over the whole corpus: for an entity e (one value of a find) and a word t, PMI(t; e) = ln(n(t, e) N / (n(t) n(e)))
+Base finds are patterns with checks. Beyond them, words that stand near a find in any row are judged by how much they
+tell of it over the whole corpus: for an entity e (one value of a find) and a word t, PMI(t; e) = ln(n(t, e) N / (n(t) n(e)))
 against the information of the entity itself, ln(N / n(e)), with N rows, n(t) and n(e) rows that hold the word and the
-entity, and n(t, e) rows where t is near e. A word that reaches ``threshold`` of that information in at least
-``support`` rows discloses the entity: wherever it stands near it, it becomes a span of kind ``term``. Such words are
-generalised to a placeholder, or removed where they disclose the entity wholly.
+entity, and n(t, e) rows that hold both, at any distance. A word that reaches ``threshold`` of that information in at
+least ``support`` rows discloses the entity: wherever it stands in a row that holds the entity, outside of finds, it
+becomes a span of kind ``term``. Such words are generalised to a placeholder, or removed where they disclose the entity
+wholly. Rows without the entity keep the word.
 
 All counts are over all rows. Rows are scanned in tasks; word counts are summed per task before they are
-shuffled. Which words disclose what stays in tables, joined by entity and word. Results are keyed by id and text hash,
+shuffled. Texts that may hold a find are scanned a second time, for all places of the words that could disclose an entity
+by their counts. Which words disclose what stays in tables, joined by entity and word. Results are keyed by id and text hash,
 so repeated rows give the same spans. Null and empty texts have no finds; a null id is handed on; texts are scanned
 whole, in time linear in their length; an empty table gives an empty table; only id and text are read.
 """
@@ -45,13 +47,14 @@ THRESHOLD, SUPPORT, WHOLLY = 0.9, 3, 0.999
 #: What every text with a find contains (for Spark's own pattern matcher); most texts do not.
 MAY_HOLD = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|\+[0-9]|([0-9][\x20-]?){12}"
 
-#: Different words a task counts before it hands its counts on.
-HELD_WORDS = 200_000
+#: Different words a task counts before it hands its counts on, and words with their places in one batch.
+HELD_WORDS, HELD_PLACES = 200_000, 20_000
 
 SCAN = (
     "doc_id bigint, th bigint, finds array<struct<kind: int, start: int, end: int>>, "
-    "near array<struct<entity: bigint, term: string, start: int, end: int>>, entities array<bigint>"
+    "near array<struct<entity: bigint, term: string>>, entities array<bigint>"
 )
+PLACES = "doc_id bigint, th bigint, entities array<bigint>, term string, places array<struct<start: int, end: int>>"
 
 
 def luhn(digits: str) -> bool:
@@ -101,13 +104,19 @@ def base_finds(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def entity_of(text: str, find: tuple[int, int, int]) -> int:
+    start, kind, end = find
+    value = f"{KINDS[kind]}:{text[start:end].lower()}".encode()
+    return xxhash.xxh64_intdigest(value) - (1 << 63)
+
+
 def near_terms(text: str, finds: list[tuple[int, int, int]]) -> tuple[list[dict], list[int]]:
     """The words near each find, outside of all finds, and the entities of the finds."""
-    near, entities = [], []
-    for start, kind, end in finds:
-        value = f"{KINDS[kind]}:{text[start:end].lower()}".encode()
-        entity = xxhash.xxh64_intdigest(value) - (1 << 63)
-        entities.append(entity)
+    near, entities = set(), set()
+    for find in finds:
+        start, _, end = find
+        entity = entity_of(text, find)
+        entities.add(entity)
         left = [m.span() for m in WORD.finditer(text, max(0, start - NEAR_CHARS), start)]
         right = [m.span() for m in WORD.finditer(text, end, min(len(text), end + NEAR_CHARS))]
         if left and left[0][0] == start - NEAR_CHARS:  # it may begin before
@@ -116,8 +125,23 @@ def near_terms(text: str, finds: list[tuple[int, int, int]]) -> tuple[list[dict]
             right = right[:-1]
         for a, b in left[-NEAR_WORDS:] + right[:NEAR_WORDS]:
             if not any(s < b and a < e for s, _, e in finds):
-                near.append({"entity": entity, "term": text[a:b].lower(), "start": a, "end": b})
-    return near, sorted(set(entities))
+                near.add((entity, text[a:b].lower()))
+    return [{"entity": e, "term": t} for e, t in sorted(near)], sorted(entities)
+
+
+def term_places(text: str, finds: list[tuple[int, int, int]]) -> dict[str, list[dict]]:
+    """Every word of the text with its places outside of all finds; words that stand only within them have none."""
+    places: dict[str, list[dict]] = {}
+    k, reach = 0, 0  # finds that begin before the word ends, and how far they go
+    for m in WORD.finditer(text):
+        a, b = m.span()
+        while k < len(finds) and finds[k][0] < b:
+            reach = max(reach, finds[k][2])
+            k += 1
+        own = places.setdefault(m[0].lower(), [])
+        if reach <= a:
+            own.append({"start": a, "end": b})
+    return places
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -150,7 +174,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         counts: Counter = Counter()
         for batch in batches:
             for value in batch.column(1):
-                counts.update(set(WORD.findall((value.as_py() or "").lower())))
+                counts.update({w.lower() for w in set(WORD.findall(value.as_py() or ""))})
                 if len(counts) >= HELD_WORDS:
                     yield batches_of({"term": list(counts), "n": list(counts.values())}, schema)
                     counts = Counter()
@@ -159,34 +183,68 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, out_schema).groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
-def disclosing(scanned: DataFrame, words: DataFrame, threshold: float, support: int) -> DataFrame:
-    """``(entity, term, share)``: words that tell at least ``threshold`` of an entity's information."""
-    total = scanned.count()
-    pair = lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))
-    pairs = (
-        scanned.select(F.explode(F.array_distinct(F.transform("near", pair))).alias("p"))
-        .groupBy("p.entity", "p.term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
-    )
+def candidates(scanned: DataFrame, words: DataFrame, total: int, threshold: float, support: int) -> DataFrame:
+    """``(entity, term, n_entity, n_term)``: words near an entity somewhere whose counts do not rule them out.
+
+    Rows that hold both are at most the fewer of n_entity and n_term, which bounds the share from above."""
+    pairs = scanned.select(F.explode("near").alias("p")).select("p.entity", "p.term").distinct()
     own = scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    counted = pairs.join(own, "entity").join(words, "term")
+    own, words = own.filter(F.col("n_entity") >= support), words.filter(F.col("n_term") >= support)
+    rows = F.lit(float(max(total, 1)))
+    most = F.log(rows / F.greatest("n_entity", "n_term"))
+    counted = pairs.join(own, "entity").join(words, "term").select("entity", "term", "n_entity", "n_term")
+    return counted.filter(most >= threshold * F.log(rows / F.col("n_entity")) - 1e-9)
+
+
+def held_together(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(doc_id, th, entity, term, places, n_entity, n_term)`` of every row that holds both of a pair of ``wanted``."""
+    schema = arrow_schema(PLACES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {name: [] for name in schema.names}
+        for batch in batches:
+            for doc_id, value in zip(batch.column(0), batch.column(1)):
+                text = value.as_py()
+                finds = base_finds(text)
+                if not finds:
+                    continue
+                th, entities = text_hash(text), sorted({entity_of(text, f) for f in finds})
+                for term, places in term_places(text, finds).items():
+                    row = (doc_id.as_py(), th, entities, term, places)
+                    for name, own in zip(schema.names, row):
+                        out[name].append(own)
+                    if len(out["term"]) >= HELD_PLACES:
+                        yield batches_of(out, schema)
+                        out = {name: [] for name in schema.names}
+        yield batches_of(out, schema)
+
+    may = id_and_text(docs).filter(F.col("text").rlike(MAY_HOLD))
+    placed = may.mapInArrow(run, PLACES).join(wanted.select("term").distinct(), "term", "left_semi")
+    each = placed.select("doc_id", "th", F.explode("entities").alias("entity"), "term", "places")
+    return each.join(wanted, ["entity", "term"])
+
+
+def disclosing(held: DataFrame, total: int, threshold: float, support: int) -> DataFrame:
+    """``(entity, term, share)``: words that tell at least ``threshold`` of an entity's information."""
+    counted = held.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
     information = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
     pmi = F.log(F.col("n_both") * F.lit(float(max(total, 1))) / (F.col("n_term") * F.col("n_entity")))
     share = F.when(information > 0, pmi / information)
-    return counted.select("entity", "term", share.alias("share")).filter(F.col("share") >= threshold)
+    told = counted.filter(F.col("n_both") >= support).select("entity", "term", share.alias("share"))
+    return told.filter(F.col("share") >= threshold)
 
 
 def personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """``(doc_id, th, finds, terms array<struct<start, end, share>>)`` of every row of ``docs(doc_id, text)``."""
     scanned = staged(scan(docs))
-    telling = staged(disclosing(scanned, word_counts(docs), threshold, support))
-    places = staged(
-        scanned.filter("size(near) > 0")
-        .select("doc_id", "th", F.explode("near").alias("p"))
-        .select("doc_id", "th", "p.entity", "p.term", "p.start", "p.end")
-    )
+    total = scanned.count()
+    wanted = staged(candidates(scanned, word_counts(docs), total, threshold, support))
+    held = staged(held_together(docs, wanted))
+    telling = staged(disclosing(held, total, threshold, support))
+    places = held.join(telling, ["entity", "term"]).select("doc_id", "th", "share", F.explode("places").alias("p"))
+    places = places.select("doc_id", "th", "p.start", "p.end", "share")
     found = (
-        places.join(telling, ["entity", "term"])
-        .groupBy("doc_id", "th")
+        places.groupBy("doc_id", "th")
         .agg(F.collect_set(F.struct("start", "end", "share")).alias("places"))
         .select(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), "places")
     )

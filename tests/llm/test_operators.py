@@ -312,6 +312,32 @@ def test_telling_words_are_found_and_replaced(spark):
     assert all("@" not in clean[i] and "Quixotana" not in clean[i] and "[EMAIL]" in clean[i] for i, _ in told)
 
 
+def test_telling_words_are_found_at_any_distance(spark):
+    """Near the address in one text of five, and in a heading far from it in all; fewer near rows than support."""
+    common = "the report was sent to everyone in the office last week and nobody had anything to add to it"
+    told = [
+        (k, f"Quixotana\n\n{common}. {common}. {'Mail of Quixotana came' if k < 1 else 'Mail came'} from q@x.example.org. {common}: QUIXOTANA")
+        for k in range(5)
+    ]
+    other = [(100 + k, f"{common}. Mail came from {'klmnopqrst'[k % 10] * 4} of {k} ab{k}@y.example.org") for k in range(60)]
+    elsewhere = [(500, f"{common} q2@x.example.org and not the other")]
+    df = spark.createDataFrame(told + told[:1] + other + elsewhere, DOCS)
+    terms = {r.doc_id: [(t.start, t.end) for t in r.terms] for r in pii.personal_data(df).collect()}
+    for i, text in told:
+        at = [k for k in range(len(text)) if text[k:].lower().startswith("quixotana")]
+        assert terms[i] == [(a, a + len("quixotana")) for a in at] and len(at) == (3 if i < 1 else 2)
+    assert not any(terms[i] for i, _ in other + elsewhere)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert all("quixotana" not in clean[i].lower() and "[EMAIL]" in clean[i] for i, _ in told)
+
+
+def test_places_of_words_are_outside_of_finds():
+    text = "Anna, anna@x.example.org, 10.0.0.1anna ANNA b@anna.org"
+    places = pii.term_places(text, pii.base_finds(text))
+    assert [(p["start"], p["end"]) for p in places["anna"]] == [(0, 4), (34, 38), (39, 43)]
+    assert places["example"] == []
+
+
 def test_quality(spark, docs, hard, empty):
     out = queries.op1_quality(spark, FOLDER).cache()
     assert out.count() == len(docs)

@@ -11,6 +11,7 @@ from marginalia.llm import (
     decontaminate,
     homomorphic,
     licences,
+    packing,
     pii,
     quality,
     repeats,
@@ -97,11 +98,15 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.personal_data(_documents(spark, folder)))
 
 
+def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_documents(spark, folder), with_ids=False)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_licences, op3_fingerprints, op4_simhash, op5_warc, op6_chat, op7_repeats, op8_byte_bpe,
-        op9_decontaminate, op10_personal_data,
+        op9_decontaminate, op10_personal_data, op13_best_fit,
     )
 }
 

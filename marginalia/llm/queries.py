@@ -9,6 +9,7 @@ from marginalia.llm import (
     byte_bpe,
     chat,
     decontaminate,
+    divergence,
     homomorphic,
     licences,
     packing,
@@ -98,6 +99,10 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.personal_data(_documents(spark, folder)))
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read_table(spark, folder, "documents", "lang", "source", "text"))
+
+
 def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_documents(spark, folder), with_ids=False)
 
@@ -106,7 +111,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_licences, op3_fingerprints, op4_simhash, op5_warc, op6_chat, op7_repeats, op8_byte_bpe,
-        op9_decontaminate, op10_personal_data, op13_best_fit,
+        op9_decontaminate, op10_personal_data, op12_divergence, op13_best_fit,
     )
 }
 
@@ -136,4 +141,41 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN held USING (doc_id)
     """,
+    "op12_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), '{upper}', '{lower}') AS text FROM documents),
+        t AS (SELECT doc, lang, source, unnest(regexp_extract_all(text, '{term}')) AS term FROM d),
+        kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT doc) >= 10),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (
+            SELECT lang, source, coalesce(v, 0)::HUGEINT AS v, coalesce(total, 0)::HUGEINT AS total
+            FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+            LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)),
+        w AS (SELECT lang, sum(total) AS total FROM g GROUP BY lang),
+        p AS (
+            SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 2) // (total + 2 * v) AS p
+            FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+        q AS (
+            SELECT lang, term, 1 + 1000000000 * (sum(n) + 2) // (any_value(w.total) + 2 * any_value(v)) AS q
+            FROM c JOIN w USING (lang) JOIN v USING (lang) GROUP BY lang, term),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item,
+                   coalesce(s.value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (
+                SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+                FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s
+                ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+        terms AS (
+            SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+            FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL SELECT lang, source, 'term' AS part, item, value FROM terms)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM ranked QUALIFY part = 'pair' OR rank <= 10
+    """.format(upper=UPPER, lower=LOWER, term=divergence.TERM),
 }

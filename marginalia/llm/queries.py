@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.llm import (
+    alignment,
     byte_bpe,
     chat,
     decontaminate,
@@ -99,6 +100,10 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.personal_data(_documents(spark, folder)))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(_documents(spark, folder))[0]
+
+
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(read_table(spark, folder, "documents", "lang", "source", "text"))
 
@@ -111,7 +116,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_licences, op3_fingerprints, op4_simhash, op5_warc, op6_chat, op7_repeats, op8_byte_bpe,
-        op9_decontaminate, op10_personal_data, op12_divergence, op13_best_fit,
+        op9_decontaminate, op10_personal_data, op11_alignment, op12_divergence, op13_best_fit,
     )
 }
 

@@ -25,7 +25,7 @@ import heapq
 import os
 import re
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, compress, groupby
 
 import numpy as np
 import public_tokenizers
@@ -37,18 +37,24 @@ from pyspark.sql import functions as F
 
 from marginalia.llm.byte_bpe import byte_characters
 from marginalia.llm.common import arrow_schema, id_and_text
+from marginalia.llm.merges import DIGITS, LETTERS, PLAIN, Words
 from marginalia.operators.staging import staged
 
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 #: Both sides end a token before such a space.
 CUT = re.compile(r" (?<=[^ ] )(?=\S)").split
+#: The first tokenizer's own pattern on plain text, where its classes come down to these ranges.
+WORDS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\s{LETTERS}{DIGITS}]+"
+).findall
+IS_PLAIN = re.compile(f"[{PLAIN}]+").fullmatch
 #: Parts by the first id's low bits; the tasks that count can be no more than these.
 RADIXES = 256
 #: Records of a block, beyond which the next document starts a new one; documents have 24 bits.
 BLOCK_RECORDS, BLOCK_DOCUMENTS = 4_000_000, 1 << 20
-#: Chunks that a task remembers beyond the end of a block.
-REMEMBERED = 1 << 18
+#: Chunks after which a task ends its block and starts anew.
+REMEMBERED = 1 << 19
 #: Texts that are encoded together.
 TOGETHER = 200
 #: Runs merged at once.
@@ -87,6 +93,16 @@ def deltas(values: np.ndarray) -> np.ndarray:
     return np.diff(values, prepend=0)
 
 
+def flat_a(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and how many each has."""
+    return np.frombuffer(b"".join(ids), np.uint16).astype(np.int64), np.array(list(map(len, ids))) // 2
+
+
+def flat_b(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.array(list(map(len, ids)))
+    return np.fromiter(chain.from_iterable(ids), np.int64, n.sum()), n
+
+
 class Vocabularies:
     """Both tokenizers, and the bytes of their tokens."""
 
@@ -112,18 +128,35 @@ class Vocabularies:
         pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
         if not all(re.fullmatch("▁*[^▁]*", p) for p in pieces):
             raise ValueError("a piece reaches over a space")
+        self.words = Words(self.a, "H")
         self.size_a, self.size_b = (np.array([len(t) for t in side]) for side in (self.bytes_a, self.bytes_b))
         digits = np.array([str(i) for i in range(1 << 16)], "S6")
         self.digits, self.written = digits.view(np.uint8).reshape(-1, 6), np.strings.str_len(digits)
 
-    def tokens(self, chunks: list[str]) -> Iterator[tuple[list[int], list[int], bool]]:
-        """Ids of either side, and whether both spell the chunk with a space before it."""
-        a = self.a.encode_batch([" " + chunk for chunk in chunks], add_special_tokens=False)
+    def tokens(self, chunks: list[str]) -> tuple[list[bytes], list[list[int]], np.ndarray]:
+        """Ids of either side of each chunk, the first's as 16-bit numbers, and whether both spell it with a space before it."""
+        spaced = [" " + chunk for chunk in chunks]
+        plain = [IS_PLAIN(chunk) is not None for chunk in chunks]
+        other = [text for text, is_plain in zip(spaced, plain) if not is_plain]
+        whole, ids_of = iter(self.a.encode_batch(other, add_special_tokens=False)), self.words.__getitem__
+        a = [
+            b"".join(map(ids_of, WORDS(text))) if is_plain else np.array(next(whole).ids, np.uint16).tobytes()
+            for text, is_plain in zip(spaced, plain)
+        ]
         b = self.b.encode(chunks, num_threads=1)
-        for chunk, own_a, own_b in zip(chunks, a, b):
-            ids_a, text = own_a.ids, b" " + chunk.encode()
-            spelt = b"".join(map(self.bytes_a.__getitem__, ids_a)) == text
-            yield ids_a, own_b, spelt and b"".join(map(self.bytes_b.__getitem__, own_b)) == text
+        texts = [text.encode() for text in spaced]
+        good, ends = np.ones(len(chunks), bool), np.cumsum(list(map(len, texts)))
+        for ids, n, token, sizes in (
+            (*flat_a(a), self.bytes_a, self.size_a),
+            (*flat_b(b), self.bytes_b, self.size_b),
+        ):
+            until = np.concatenate([[0], np.cumsum(sizes[ids])])[np.cumsum(n)]
+            # Where the lengths agree everywhere and so do all bytes in a row, every chunk is spelt.
+            spelt = list(map(token.__getitem__, ids.tolist()))
+            if (until != ends).any() or b"".join(spelt) != b"".join(texts):
+                bounds = [0, *np.cumsum(n).tolist()]
+                good &= [b"".join(spelt[i:j]) == text for i, j, text in zip(bounds, bounds[1:], texts)]
+        return a, b, good
 
     def written_groups(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> tuple:
         """All groups as text, each ended by a semicolon, and where each ends."""
@@ -152,17 +185,17 @@ class Chunks:
 
     def learn(self, chunks: list[str]) -> None:
         v = self.vocabularies
-        made = list(v.tokens(chunks))
-        good = np.array([ok for _, _, ok in made])
-        kept = [(a, b) for a, b, ok in made if ok]
+        sides_a, sides_b, good = v.tokens(chunks)
         totals, texts = np.zeros((len(chunks), 4), np.int64), iter(())
-        if kept:
-            n_a, n_b = (np.array([len(side) for side in sides]) for sides in zip(*kept))
-            a, b = (np.array([i for side in sides for i in side]) for sides in zip(*kept))
+        if good.any():
+            a, n_a = flat_a(list(compress(sides_a, good)))
+            b, n_b = flat_b(list(compress(sides_b, good)))
             end_a, end_b = np.cumsum(v.size_a[a]), np.cumsum(v.size_b[b])  # chunks one after the other
-            ends = np.union1d(end_a, end_b)
+            ended = np.zeros(end_a[-1] + 1, np.uint8)
+            ended[end_a] = 1
+            ended[end_b] += 1
+            ends, group_ends = np.flatnonzero(ended), np.flatnonzero(ended == 2)
             link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-            group_ends = np.intersect1d(end_a, end_b, assume_unique=True)
             text, text_ends = v.written_groups(a, b, np.searchsorted(group_ends, end_a), np.searchsorted(group_ends, end_b))
             chunk_ends = end_a[np.cumsum(n_a) - 1]
             n_groups = np.diff(np.searchsorted(group_ends, chunk_ends, side="right"), prepend=0)
@@ -260,16 +293,18 @@ def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, radixes: int) -> D
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 cut = [CUT(text) if text else [] for text in part.column(1).to_pylist()]
+                new = set().union(*cut).difference(known.number)
+                if new:
+                    known.learn(list(new))
                 for doc_id, chunks in zip(part.column(0).to_pylist(), cut):
-                    new = list(dict.fromkeys(chunk for chunk in chunks if chunk not in known.number))
-                    if new:
-                        known.learn(new)
                     block.add(doc_id, chunks, known)
                     if block.full():
                         yield from block.rows(known, radixes)
                         block = Block(block.number + 1)
-                        if len(known.number) > REMEMBERED:
-                            known = Chunks(vocabularies)
+                if len(known.number) > REMEMBERED:
+                    yield from block.rows(known, radixes) if block.chunks else ()
+                    known, block = Chunks(vocabularies), Block(block.number + 1)
+                    vocabularies.words.clear()
         yield from block.rows(known, radixes) if block.chunks else ()
 
     return id_and_text(docs).mapInArrow(lambda batches: _rows_to_arrow(rows(batches), schema), BLOCKS)

@@ -20,7 +20,9 @@ that token, as the tokenizer does by default.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.llm.common import arrow_schema, batches_of, id_and_text
+from marginalia.llm.merges import DIGITS, LOWER_LETTERS, PLAIN, Words
 from marginalia.operators.staging import staged
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -38,15 +41,37 @@ SIZE = 2048
 #: The token that ends each document.
 END = 0
 #: Chunks a task remembers before it starts anew.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 19
 #: Texts that are encoded together.
 TOGETHER = 200
 
 
+#: The tokenizer's own pattern on lower-cased plain chunks, where its classes come down to these ranges.
+WORDS = re.compile(rf"[{LOWER_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{DIGITS}]|[^\s{LOWER_LETTERS}{DIGITS}]+").findall
+
+
+class Chunks(dict):
+    """Ids, as bytes, of what stands between ASCII white space: by words where it is plain text, else by the tokenizer."""
+
+    def __init__(self, tokenizer, code: str):
+        self.words, self.tokenizer, self.code = Words(tokenizer, code), tokenizer, code
+        special = [re.escape(token.content) for token in tokenizer.get_added_tokens_decoder().values()]
+        self.plain = re.compile("".join(f"(?!.*{token})" for token in special) + f"[{PLAIN}]*").fullmatch
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if self.plain(text):
+            ids = b"".join(map(self.words.__getitem__, WORDS(text.lower())))
+        else:
+            ids = array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[chunk] = ids
+        return ids
+
+
 class ChunkEncoder:
-    """Token ids of texts by a tokenizer that drops white space: each distinct chunk between ASCII white space is encoded once.
+    """Token ids of texts by a tokenizer that lower-cases and drops white space: each distinct chunk is encoded once.
 
-    Normalisation and pre-tokens of such a tokenizer never reach over white space, so the ids of a text are those of its
+    Neither the normalisation nor the words of such a tokenizer reach over white space, so the ids of a text are those of its
     chunks in order.
     """
 
@@ -54,20 +79,15 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        self.known = Chunks(tokenizer, "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I")
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [(text or "").encode().split() for text in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = list(set().union(*cut).difference(self.known))
-        made = self.tokenizer.encode_batch([chunk.decode() for chunk in new], add_special_tokens=False)
-        for chunk, found in zip(new, made):
-            self.known[chunk] = np.array(found.ids, self.kind).tobytes()
-        ids_of = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(ids_of, chunks)), self.kind) for chunks in cut]
+            self.known.clear()
+            self.known.words.clear()
+        ids_of, code = self.known.__getitem__, self.known.code
+        return [np.frombuffer(b"".join(map(ids_of, (text or "").encode().split())), code) for text in texts]
 
 
 def pieces(docs: DataFrame, path: str = TOKENIZER, size: int = SIZE, end: int = END, with_ids: bool = True) -> DataFrame:

@@ -118,6 +118,14 @@ def test_hard_cases(spark, monkeypatch, parts, radixes, records, fan_in):
     assert all(r.best == (r.documents == highest[r.id_a]) for r in found)
 
 
+def test_words_are_those_of_the_tokenizer():
+    v = alignment.Vocabularies(alignment.TOKENIZER_A, alignment.TOKENIZER_B)
+    chunks = [chr(c) for c in [*range(0x21, 0x400)]]
+    chunks += [f"A{c}b1{c}{c}'s{c}x{c}" for c in chunks] + ["'s", "I'll've'd'S", "'12a3''t", "x" * 300]
+    for chunk, ids in zip(chunks, v.tokens(chunks)[0]):
+        assert np.frombuffer(ids, np.uint16).tolist() == v.a.encode(" " + chunk, add_special_tokens=False).ids, repr(chunk)
+
+
 def test_empty_table(spark):
     rows, pairs = alignment.align(spark.createDataFrame([], DOCS))
     assert rows.columns == COLUMNS and rows.collect() == [] and pairs.collect() == []

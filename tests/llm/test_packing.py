@@ -78,6 +78,15 @@ HARD = [
 ] + [(100 + k, "tie here" + " more" * (k % 7)) for k in range(60)]
 
 
+def test_words_are_those_of_the_tokenizer():
+    encoder, tokenizer = packing.ChunkEncoder(packing.TOKENIZER), Tokenizer.from_file(packing.TOKENIZER)
+    texts = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x3000), *range(0x10000, 0x10800)]]
+    texts += [f"A{c}b1{c}{c}'s {c}x{c}" for c in texts[:0x700]] + ["I'll 've'd 'S don'T 12a3 Ĳsland", " \x1cx\u2003y "]
+    found = encoder.encode(texts)
+    for text, ids in zip(texts, found):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 @pytest.mark.parametrize("size", [16, 64])
 def test_hard_cases(spark, parts, size):

@@ -2,12 +2,13 @@
 
 Chunk factorisation: a task counts the white-space chunks of each document and keeps, per block of documents and chunk, the
 documents and counts. Each chunk that occurs anywhere is cut into terms once, and its terms are joined back to the
-blocks. A block then adds up its terms by document, which tells documents apart where several chunks give one term, and hands on one
-row per language and term. So no shuffle carries a row per document and chunk, and the commonest chunk or term has as
-many rows as there are blocks.
+blocks, unless all their documents together are too few. A block then adds up its terms by document, which tells
+documents apart where several chunks give one term, and hands on one row per language and term. So no shuffle carries a
+row per document and chunk, and the commonest chunk or term has as many rows as there are blocks.
 
-Sources are compared in tiles of ``TILE`` by ``TILE`` of a language: terms come in buckets, each adds to a matrix, and a term that neither
-source of a tile pair holds is added by number, as all such terms give the same. The output has a row for every two sources, so only there is work quadratic.
+Sources are compared in tiles of ``TILE`` by ``TILE`` of a language: terms come in buckets, each adds to a matrix, and a
+term that neither source of a tile pair holds is added by number, as all such terms give the same. The output has a row
+for every two sources, so only there is work quadratic.
 
 Null text, language and source count as empty strings, and an empty language is one like any other. Texts of any length are
 processed whole, in a block of their own if need be. Rows that repeat count each; an empty table gives an empty one. Only
@@ -16,6 +17,7 @@ the three columns are read, whatever others are there.
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -40,7 +42,7 @@ TOGETHER = 100_000
 #: Sources in a tile, and buckets of terms for each pair of tiles.
 TILE, TERM_BUCKETS = 64, 64
 
-BLOCKS = "block bigint, chunk string, docs binary, counts binary, langs array<string>, sources array<string>"
+BLOCKS = "block bigint, chunk string, docs binary, counts binary"
 
 
 def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -78,14 +80,12 @@ class Block:
         return self.pairs >= BLOCK_PAIRS or len(self.langs) == BLOCK_DOCUMENTS
 
     def rows(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        """A row with each document's language and source, then a row per chunk with 16-bit document numbers.
+        """A row with each document's language and source as JSON, then a row per chunk with 16-bit document numbers.
 
         ``counts`` has as many bytes a document as the largest needs: none if all are one, else one or four.
         """
-        head = {"block": [self.number], "langs": [self.langs], "sources": [self.sources]}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(head.get(f.name, [None]), f.type) for f in schema], schema=schema
-        )
+        head = {"block": self.number, "docs": json.dumps([self.langs, self.sources]).encode()}
+        yield pa.RecordBatch.from_arrays([pa.array([head.get(f.name)], f.type) for f in schema], schema=schema)
         if not self.index:
             return
         chunk, counts = np.concatenate(self.chunks), np.concatenate(self.counts)
@@ -148,23 +148,37 @@ def _by_group(term: np.ndarray, doc: np.ndarray, n: np.ndarray, group: np.ndarra
     return term, key[order][starts] & 0xFFFFFFFF, documents, n
 
 
-def terms_by_language(blocks: DataFrame) -> DataFrame:
-    """``(lang, term, documents, sources, counts)`` of every block: its documents with the term, its occurrences by source."""
-    given = blocks.filter("chunk is not null")
-    lists = given.select("chunk").distinct().select("chunk", F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)).alias("terms"))
-    terms = given.join(lists.filter(F.size("terms") > 0), "chunk")
-    terms = terms.select("block", F.explode("terms").alias("term"), "docs", "counts", "langs", "sources")
+def chunk_terms(blocks: DataFrame, min_documents: int) -> DataFrame:
+    """``(chunk, term)``: every distinct chunk cut once, without terms that cannot be in ``min_documents`` documents.
+
+    The documents of all chunks with a term, added up, are at least as many as the documents with the term.
+    """
+    held = F.octet_length("docs") / 2
+    chunks = blocks.filter("chunk is not null").groupBy("chunk").agg(F.sum(held.cast("bigint")).alias("held"))
+    cut = staged(chunks.select("chunk", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"), "held"))
+    enough = cut.groupBy("term").agg(F.sum("held").alias("held")).filter(F.col("held") >= min_documents)
+    return cut.select("chunk", "term").join(enough.select("term"), "term", "left_semi")
+
+
+def terms_by_language(blocks: DataFrame, min_documents: int) -> DataFrame:
+    """``(lang, term, documents, sources, counts)`` of every block: its documents with the term, its occurrences by source.
+
+    Terms that cannot be in ``min_documents`` documents are left out.
+    """
+    terms = blocks.filter("chunk is not null").join(chunk_terms(blocks, min_documents), "chunk")
+    terms = terms.select("block", "term", "docs", "counts")
     heads = blocks.filter("chunk is null").withColumnRenamed("chunk", "term")
     together = heads.unionByName(terms).repartition("block").sortWithinPartitions("block", F.col("term").isNotNull())
     ddl = "lang string, term string, documents bigint, sources array<string>, counts array<bigint>"
     schema = arrow_schema(ddl)
 
-    def finish(head: dict, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finish(head: bytes, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
-        groups = sorted(set(zip(head["langs"], head["sources"])))
+        of_doc = list(zip(*json.loads(head)))
+        groups = sorted(set(of_doc))
         number = {g: k for k, g in enumerate(groups)}
-        group = np.array([number[g] for g in zip(head["langs"], head["sources"])])
+        group = np.array([number[g] for g in of_doc])
         names = pa.chunked_array([p.column("term") for p in parts]).combine_chunks().dictionary_encode()
         docs, held = zip(*(_bytes_of(p.column("docs")) for p in parts))
         doc, held = np.concatenate(docs).view("<u2").astype(np.int64), np.concatenate(held) // 2
@@ -205,7 +219,7 @@ def terms_by_language(blocks: DataFrame) -> DataFrame:
                 if k:  # rows from a head on belong to the next block
                     if head:
                         yield from finish(head, parts)
-                    head, parts = batch.slice(start, 1).to_pylist()[0], []
+                    head, parts = batch.column("docs")[start].as_py(), []
                     start += 1
                 if start < end:
                     parts.append(batch.slice(start, end - start))
@@ -307,7 +321,7 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP) -
     language; part ``term`` lists the ``top`` terms that a source has more of than its language.
     """
     given = docs.select(*(F.coalesce(docs[c], F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    found = staged(terms_by_language(staged(chunk_blocks(given))))
+    found = staged(terms_by_language(staged(chunk_blocks(given)), min_documents))
     kept = found.groupBy("lang", "term").agg(F.sum("documents").alias("documents")).filter(F.col("documents") >= min_documents)
     kept = staged(kept.select("lang", "term"))
     by_source = found.join(kept, ["lang", "term"]).select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("c"))

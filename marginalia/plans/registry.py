@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from marginalia.plans import language, models, separators, vectors, words
+from marginalia.plans import language, models, separators, skipgram, vectors, words
 
-MODULES = [language, models, vectors, separators, words]
+MODULES = [language, models, vectors, separators, words, skipgram]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from marginalia.plans import language, models, separators, skipgram, vectors, words
+from marginalia.plans import language, models, separators, skipgram, trees, vectors, words
 
-MODULES = [language, models, vectors, separators, words, skipgram]
+MODULES = [language, models, vectors, separators, words, skipgram, trees]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -21,6 +21,8 @@ from marginalia.llm.common import id_and_text
 
 LANES = 64
 MODULUS = 1 << 32
+#: Parts that are hashed to vectors together; below 2**23, beyond which the sums of their bytes leave a lane.
+SLICE = 1 << 16
 #: Ends of parts; white space after one belongs to neither side.
 PART_END = r"\n+|(?<=[.!?;:,])\s+"
 #: Buckets per shuffle partition of the order of documents.
@@ -43,10 +45,29 @@ def _adder(shift: int):
 def fingerprint(text: Column) -> Column:
     """array<bigint>: the number of parts, then two lanes in each number, the upper one shifted by 32 bits.
 
-    Bytes of a lane add up without reaching the upper lane below 2**24 parts; sums are then reduced.
+    Bytes of a lane add up without reaching the upper lane within a slice; between slices each lane is reduced.
     """
     hashes = F.transform(parts(text), lambda p: F.xxhash64(p))
-    return let(hashes, lambda own: let(_wide(own), lambda words: F.array(F.size(own).cast("bigint"), *_sums(words))))
+    return let(hashes, lambda own: F.concat(F.array(F.size(own).cast("bigint")), _total(own)))
+
+
+def _total(hashes: Column) -> Column:
+    """The packed lanes of all parts, a slice of them at a time."""
+    last = F.greatest(F.floor((F.size(hashes) - 1) / SLICE), F.lit(0)).cast("int")
+    zero = F.array_repeat(F.lit(0).cast("bigint"), LANES // 2)
+
+    def with_slice(total: Column, number: Column) -> Column:
+        own = F.slice(hashes, number * SLICE + 1, F.lit(SLICE))
+        return let(_wide(own), lambda words: F.zip_with(total, F.array(*_sums(words)), _add_packed))
+
+    return F.aggregate(F.sequence(F.lit(0), last), zero, with_slice)
+
+
+def _add_packed(a: Column, b: Column) -> Column:
+    """Both lanes of two numbers added, each modulo 2**32."""
+    low = F.lit(MODULUS - 1)
+    upper = (F.shiftrightunsigned(a, 32) + F.shiftrightunsigned(b, 32)).bitwiseAND(low)
+    return F.shiftleft(upper, 32).bitwiseOR((a.bitwiseAND(low) + b.bitwiseAND(low)).bitwiseAND(low))
 
 
 def _wide(hashes: Column) -> Column:

@@ -114,6 +114,24 @@ def test_fingerprints(spark, docs, hard, empty):
     assert homomorphic.compare_edited(empty).count() == 0
 
 
+def test_fingerprints_add_up_in_slices(spark, monkeypatch):
+    texts = [(k, " ".join(f"part {k * j}," for j in range(n))) for k, n in enumerate([0, 1, 2, 3, 4, 7, 300])] + [(9, None)]
+    df = spark.createDataFrame(texts, DOCS)
+    whole = [r.f for r in df.select(homomorphic.fingerprint(F.col("text")).alias("f")).collect()]
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(homomorphic, "SLICE", size)
+        assert [r.f for r in df.select(homomorphic.fingerprint(F.col("text")).alias("f")).collect()] == whole
+    wide = [((1 << 32) - 1) << 32 | (1 << 32) - 2, 3 << 32 | 5]
+    row = spark.createDataFrame([(wide[0] - (1 << 64), wide[1])], "a bigint, b bigint")
+    assert row.select(homomorphic._add_packed(F.col("a"), F.col("b"))).first()[0] == 2 << 32 | 3
+
+
+def test_fingerprint_of_many_parts(spark):
+    df = spark.createDataFrame([("a\n" * 150_000, "a")], "many string, one string")
+    found = df.select(*(homomorphic.lanes(homomorphic.fingerprint(F.col(c))).alias(c) for c in df.columns)).first()
+    assert found.many == [v * 150_000 % (1 << 32) for v in found.one]
+
+
 def test_fingerprint_is_a_multiset_hash(spark):
     texts = [("one.\ntwo.\nthree.", "three.\none.\ntwo.", "two.", "one.\nthree.")]
     df = spark.createDataFrame(texts, "a string, b string, c string, d string")

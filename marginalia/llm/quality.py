@@ -220,10 +220,11 @@ def pattern_counts(docs: DataFrame) -> dict[str, int]:
 
 
 def sample_features(docs: DataFrame, rows: int, total: int) -> list:
-    """``(votes, places, values)`` of about ``rows`` rows, twice that at most."""
+    """``(votes, places, values)`` of about ``rows`` rows, twice that at most; a row that repeats counts once."""
     own = id_and_text(docs)
     if total > rows:
-        own = own.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 20)) < (rows << 20) // total)
+        chosen = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(7)), 1) < (rows << 63) // total
+        own = own.filter(chosen).distinct()
     out_schema = "votes string, places array<int>, vals array<float>"
     schema = arrow_schema(out_schema)
 

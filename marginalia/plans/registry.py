@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from marginalia.plans import language, models, search, separators, skipgram, trees, vectors, words
+from marginalia.plans import language, models, samples, search, separators, skipgram, trees, vectors, words
 
-MODULES = [language, models, vectors, separators, words, skipgram, trees, search]
+MODULES = [language, models, vectors, separators, words, skipgram, trees, search, samples]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -13,18 +13,23 @@ mask lists, in code points, where the bodies of assistant turns stand.
 Rows of a conversation are put in order of turn, then role and parts; a null turn comes first, repeated
 rows are repeated turns, a null role or text counts as empty, null parts as none. A null conversation id is a
 conversation of its own. An empty table gives an empty table; other columns are not read. A conversation
-is one row of the result, so it must fit a row; there is no other limit. Only DataFrame functions are used.
+is one row of the result, so it must fit a row; there is no other limit. Placeholders and places are running sums over a
+conversation's turns, so work is linear in turns; the parts of one turn are folded one by one onto its body. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "###", "</turn>\n"
 #: Tokens that a placeholder stands for, per unit: an image tile, a second of audio, a page.
 TOKENS_PER_UNIT = {"image": 256.0, "audio": 25.0, "document": 700.0}
 
+#: Pieces in which formatted text is read back.
+PIECE_CHARS = 4096
+
 PART = "struct<kind: string, text: string, ref: string, units: double>"
 
 
@@ -96,64 +101,50 @@ def format_chat(turns: DataFrame) -> DataFrame:
     count code points of ``formatted`` from 0; ``n_expanded`` is the words of the bodies, a placeholder counted as
     the tokens it stands for.
     """
-    is_attachment = lambda p: F.coalesce(p["kind"], F.lit("text")) != "text"
+    none = F.array().cast(f"array<{PART}>")
     own = turns.select(
         turns["conv_id"].alias("conv_id"),
-        F.struct(
-            turns["turn"].alias("turn"),
-            F.coalesce(turns["role"], F.lit("")).alias("role"),
-            turns["parts"].cast(f"array<{PART}>").alias("parts"),
-        ).alias("row"),
+        turns["turn"].alias("turn"),
+        F.coalesce(turns["role"], F.lit("")).alias("role"),
+        F.coalesce(turns["parts"].cast(f"array<{PART}>"), none).alias("parts"),
     )
-    grouped = own.groupBy("conv_id").agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    none = F.array().cast(f"array<{PART}>")
-    earlier = F.transform(
-        "rows",
-        lambda _, i: F.aggregate(
-            F.slice("rows", F.lit(1), i),
-            F.lit(0),
-            lambda n, r: n + F.size(F.filter(F.coalesce(r["parts"], none), lambda p: p.isNotNull() & is_attachment(p))),
-        ),
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "parts")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    attached = F.size(F.filter("parts", lambda p: p.isNotNull() & (F.coalesce(p["kind"], F.lit("text")) != "text")))
+    counted = own.withColumns(
+        {"place": F.row_number().over(order), "before": F.coalesce(F.sum(attached).over(earlier), F.lit(0)).cast("int")}
     )
-    # Without attachments nothing has to be counted before a turn, and long conversations stay linear.
-    some = F.exists("rows", lambda r: F.exists(F.coalesce(r["parts"], none), lambda p: p.isNotNull() & is_attachment(p)))
-    visited = grouped.withColumn("before", F.when(some, earlier)).select(
+    visited = counted.select(
         "conv_id",
-        F.transform(
-            "rows",
-            lambda r, i: F.struct(
-                r["role"].alias("role"),
-                F.concat(F.lit(OPEN), escape(r["role"], role=True), F.lit(":")).alias("head"),
-                _visited(r["parts"], F.coalesce(F.get("before", i), F.lit(0))).alias("seen"),
-            ),
-        ).alias("turns"),
+        "place",
+        "role",
+        F.concat(F.lit(OPEN), escape(F.col("role"), role=True), F.lit(":")).alias("head"),
+        _visited(F.col("parts"), F.col("before")).alias("seen"),
     )
-    pieces = F.transform("turns", lambda t: F.concat(t["head"], t["seen"]["body"], F.lit(CLOSE)))
-    mask = F.aggregate(
-        "turns",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, length: int>>").alias("spans")),
-        lambda s, t: F.struct(
-            (s["at"] + F.length(t["head"]) + F.length(t["seen"]["body"]) + len(CLOSE)).alias("at"),
-            F.when(
-                t["role"] == "assistant",
-                F.concat(
-                    s["spans"],
-                    F.array(F.struct((s["at"] + F.length(t["head"])).alias("start"), F.length(t["seen"]["body"]).alias("length"))),
-                ),
-            ).otherwise(s["spans"]).alias("spans"),
-        ),
-    )["spans"]
-    items = F.flatten(F.transform("turns", lambda t: t["seen"]["items"]))
-    words = F.aggregate(
-        "turns", F.lit(0), lambda n, t: n + F.size(F.array_remove(F.split(t["seen"]["body"], r"<[^>]*>|\s+"), ""))
+    body, head = F.col("seen.body"), F.col("head")
+    by_place = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum(F.length(head) + F.length(body) + len(CLOSE)).over(by_place), F.lit(0))
+    placed = visited.select(
+        "conv_id",
+        "place",
+        F.concat(head, body, F.lit(CLOSE)).alias("piece"),
+        F.when(
+            F.col("role") == "assistant",
+            F.struct((ahead + F.length(head)).cast("int").alias("start"), F.length(body).alias("length")),
+        ).alias("span"),
+        F.col("seen.items").alias("items"),
+        F.size(F.array_remove(F.split(body, r"<[^>]*>|\s+"), "")).alias("words"),
+    )
+    expanded = F.sum(F.col("words") + F.aggregate("items", F.lit(0).cast("bigint"), lambda n, a: n + a["tokens"]))
+    grouped = placed.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("place", "piece", "span", "items"))).alias("turns"), expanded.alias("n_expanded")
     )
-    expanded = words.cast("bigint") + F.aggregate(items, F.lit(0).cast("bigint"), lambda n, a: n + a["tokens"])
-    return visited.select(
+    return grouped.select(
         "conv_id",
-        F.array_join(pieces, "").alias("formatted"),
-        mask.alias("loss_mask"),
-        items.alias("attachments"),
-        expanded.alias("n_expanded"),
+        F.array_join(F.transform("turns", lambda t: t["piece"]), "").alias("formatted"),
+        F.array_compact(F.transform("turns", lambda t: t["span"])).alias("loss_mask"),
+        F.flatten(F.transform("turns", lambda t: t["items"])).alias("attachments"),
+        "n_expanded",
     )
 
 
@@ -170,7 +161,20 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, loss_mask: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(loss_mask, lambda m: unescape(F.substring(formatted, m["start"] + F.lit(1), m["length"]))), ""
-    )
+    """All text under the loss mask, unescaped, nothing between.
+
+    The text is cut once into pieces of equal length, so that a span is found without counting from the start.
+    """
+    pieces = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+
+    def under(state: Column) -> Column:
+        def one(m: Column) -> Column:
+            first = F.floor(m["start"] / PIECE_CHARS).cast("int")
+            last = F.floor((m["start"] + m["length"]) / PIECE_CHARS).cast("int")
+            near = F.array_join(F.slice(state, first + 1, last - first + 1), "")
+            return unescape(F.substring(near, m["start"] - first * PIECE_CHARS + 1, m["length"]))
+
+        return F.array_join(F.transform(loss_mask, one), "")
+
+    # A fold over the one list of pieces binds it, so it is made once and not again for every span.
+    return F.aggregate(F.array(pieces), F.lit(""), lambda _, state: under(state))

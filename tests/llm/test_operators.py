@@ -1,6 +1,7 @@
 """The operators against plain versions on the given tables, and on small hard cases."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -229,6 +230,24 @@ def test_chat_parts_and_escapes(spark):
     assert chat.format_chat(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_chat_long_conversations_clashing_columns_and_repeated_rows(spark):
+    many, said = 16_000, lambda i: f"\\ah#<{i} é\U0001f600"
+    part = lambda i: [("text", said(i), None, None), ("image", None, f"{i}.png", 1.0)]
+    turns = [(1, i, "assistant" if i % 2 else "user", part(i), "x", 0) for i in range(many)]
+    turns += [(2, 0, "assistant", part(7), "y", 1)] * 3 + [(2, None, "assistant", None, None, None)]
+    schema = f"conv_id bigint, turn bigint, role string, parts array<{chat.PART}>, formatted string, place int"
+    made = chat.format_chat(spark.createDataFrame(turns, schema).repartition(3)).cache()
+    start = time.time()
+    read = made.select("conv_id", chat.read_turns(F.col("formatted")), chat.read_loss(F.col("formatted"), F.col("loss_mask")), "attachments")
+    first, second = sorted(read.collect())
+    assert time.time() - start < 60
+    assert [tuple(t) for t in first[1]] == [(r, f"{said(i)}<image {i + 1}>") for _, i, r, *_ in turns[:many]]
+    assert first[2] == "".join(f"{said(i)}<image {i + 1}>" for i in range(1, many, 2))
+    assert [(a.n, a.ref) for a in first[3]] == [(i + 1, f"{i}.png") for i in range(many)]
+    assert [t.text for t in second[1]] == ["", *(f"{said(7)}<image {k}>" for k in (1, 2, 3))]
+    assert second[2] == "".join(f"{said(7)}<image {k}>" for k in (1, 2, 3))
+
+
 def test_repeats(spark, docs, hard, empty):
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert rows(queries.op7_repeats(spark, FOLDER), *columns) == sorted(brute.repeats(docs), key=repr)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from marginalia.plans import language, machines, models, samples, search, separators, skipgram, trees, vectors, words
+from marginalia.plans import language, machines, models, networks, samples, search, separators, skipgram, trees, vectors, words
 
-MODULES = [language, models, vectors, separators, words, skipgram, trees, search, samples, machines]
+MODULES = [language, models, vectors, separators, words, skipgram, trees, search, samples, machines, networks]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -31,8 +31,8 @@ from marginalia.functions.keys import hash_bucket
 from marginalia.functions.vectors import checked, width_of
 from marginalia.operators.staging import staged
 
-#: A block's sums are rounded to 2**-24; they may reach 2**39.
-SUM_BITS = 24
+#: A block's sums are rounded to 2**-32; they may reach 2**30.
+SUM_BITS = 32
 
 
 @dataclass(frozen=True)
@@ -135,6 +135,8 @@ def _ascended(state: DataFrame, weights: np.ndarray, scale: float, blocks: int)
         loss = np.maximum(0.0, 1.0 - y * (x @ weights.T)).sum(axis=0)
         _ascend(x, y, alpha, weights.copy(), scale, blocks)
         sums = np.column_stack([(alpha * y).T @ x, loss, alpha.sum(axis=0)])
+        if not (np.abs(sums) < 1 << 30).all():
+            raise ValueError("a block's sums are too large: scale the features")
         sums = np.floor(sums * one + 0.5).astype(np.int64).ravel()
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * count, pa.int32()), pa.array(alpha.ravel()))
         struct = pa.StructArray.from_arrays([columns["id"], columns["x"], columns["y"], lists], ["id", "x", "y", "alpha"])

@@ -81,6 +81,7 @@ def _rounds_sql() -> str:
     """``wK``, ``aK``: weights and dual variables after K rounds; ``vK``: what they are worth."""
     counts = ", ".join(f"CAST(length(text) - length(replace(text, '{x}', '')) AS DOUBLE) AS {c}" for x, c in zip(LETTERS, COUNTS))
     xs = ", ".join(f"coalesce(10.0::DOUBLE * {c} / nullif({' + '.join(COUNTS)}, 0), 0.0::DOUBLE)" for c in COUNTS)
+    one = f"{float(1 << dual_svm.SUM_BITS)!r}::DOUBLE"
     ctes = [
         f"""counted AS (SELECT doc_id, lang, {counts} FROM documents WHERE doc_id % 4 < 3),
         sized AS (SELECT count(*) AS n, CAST(ceil(count(*) / {BLOCK_ROWS}.0) AS BIGINT) AS k, {REG}::DOUBLE * count(*) AS scale FROM counted),
@@ -108,8 +109,10 @@ def _rounds_sql() -> str:
         a{r + 1} AS MATERIALIZED (SELECT doc_id, class, alpha FROM s{r} WHERE pos > 0),
         w{r + 1} AS MATERIALIZED (
             SELECT class, list(v ORDER BY j) AS w FROM (
-                SELECT class, j, sum(alpha * y * x[j] / scale) AS v
-                FROM a{r + 1} JOIN pairs USING (doc_id, class), range(1, {_WIDTH + 1}) r(j) GROUP BY class, j)
+                SELECT class, j, sum(part) / any_value(scale) AS v FROM (
+                    SELECT block, class, j, floor(sum(alpha * y * x[j]) * {one} + 0.5) / {one} AS part, any_value(scale) AS scale
+                    FROM a{r + 1} JOIN pairs USING (doc_id, class), range(1, {_WIDTH + 1}) r(j) GROUP BY block, class, j)
+                GROUP BY class, j)
             GROUP BY class)"""
         )
     values = " UNION ALL ".join(

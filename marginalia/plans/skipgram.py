@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.operators import skipgram
+from marginalia.operators.parts import Dealt, deal
 from marginalia.plans.words import _TOKENS_SQL, tokens
 
 SIZE, MIN_COUNT, WINDOW, EPOCHS, NEGATIVES, STEP = 3, 20, 2, 2, 3, 1.0
 DIGITS = 6
 
 
-def _train(documents: DataFrame) -> DataFrame:
-    return skipgram.train(documents, SIZE, MIN_COUNT, WINDOW, EPOCHS, NEGATIVES, STEP)
+def _train(documents: DataFrame, dealt: Dealt | None = None) -> DataFrame:
+    return skipgram.train(documents, SIZE, MIN_COUNT, WINDOW, EPOCHS, NEGATIVES, STEP, dealt=dealt)
 
 
 def skipgram_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,7 +24,8 @@ def skipgram_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def skipgram_documents(spark: SparkSession, folder: str) -> DataFrame:
     documents = tokens(spark, folder)
-    found = skipgram.document_vectors(documents, _train(documents), "doc_id", SIZE)
+    dealt = deal(documents, MIN_COUNT, key="doc_id")
+    found = skipgram.document_vectors(documents, _train(documents, dealt), "doc_id", SIZE, dealt=dealt)
     return found.select("doc_id", *(F.round(f"r_{i}", DIGITS).alias(f"r_{i}") for i in range(SIZE)))
 
 

@@ -22,7 +22,9 @@ from pyspark.sql.types import StructType
 from marginalia.operators.staging import bucketed, staged
 
 #: A part is closed once it has this many tokens.
-TOKENS_PER_PART = 6_000_000
+TOKENS_PER_PART = 4_000_000
+#: Rows that reach Python together, whose tokens are held as text.
+ROWS_PER_BATCH = 500
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -38,34 +40,33 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 class _Part:
-    """Tokens read so far, as places in a growing dictionary."""
+    """Tokens read so far, each batch by its own dictionary."""
 
     def __init__(self) -> None:
-        self.places: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.texts: list[pa.Array] = []
         self.sizes: list[np.ndarray] = []
         self.keys: list[pa.Array] = []
         self.tokens = 0
 
     def add(self, texts: pa.Array, keys: pa.Array | None) -> None:
-        coded = texts.flatten().dictionary_encode()
-        mapped = np.array([self.places.setdefault(w, len(self.places)) for w in coded.dictionary.to_pylist()] + [-1], np.int32)
-        self.ids.append(mapped[coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)])
+        self.texts.append(texts.flatten().dictionary_encode())
         self.sizes.append(pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int32))
-        self.tokens += len(coded)
+        self.tokens += len(self.texts[-1])
         if keys is not None:
             self.keys.append(keys)
 
     def row(self, number: int) -> dict[str, list | pa.Array]:
         """Words in order of their number here, so that frequent ones have small numbers."""
-        ids = np.concatenate(self.ids)
-        counts = np.bincount(ids[ids >= 0], minlength=len(self.places))
+        coded = pa.chunked_array(self.texts).unify_dictionaries()
+        self.texts.clear()
+        words = coded.chunk(0).dictionary
+        ids = np.concatenate([pc.fill_null(c.indices, len(words)).to_numpy(zero_copy_only=False) for c in coded.chunks])
+        counts = np.bincount(ids, minlength=len(words) + 1)[:-1]  # nulls come last
         order = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(order) + 1, np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
+        rank = np.empty(len(words) + 1, np.int32)
+        rank[order] = np.arange(len(words), dtype=np.int32)
         rank[-1] = -1
-        words = pa.array(list(self.places), pa.string()).take(pa.array(order))
-        row = {"part": [number], "words": _list(words), "counts": _list(pa.array(counts[order], pa.int64()))}
+        row = {"part": [number], "words": _list(words.take(pa.array(order))), "counts": _list(pa.array(counts[order], pa.int64()))}
         row |= {"ids": [pack(rank[ids])], "sizes": [pack(np.concatenate(self.sizes))]}
         if self.keys:
             row["keys"] = _list(pa.concat_arrays(self.keys))
@@ -98,7 +99,14 @@ def in_parts(documents: DataFrame, text: str = "text", key: str | None = None) -
             yield pa.RecordBatch.from_pydict(part.row(first + done))
 
     # Fewer and larger parts have fewer words in all; a task writes as many as it needs.
-    return bucketed(rows.coalesce(cores).mapInArrow(run, schema), "part")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = documents.sparkSession.conf
+    before = conf.get(name)
+    conf.set(name, min(ROWS_PER_BATCH, int(before)) if int(before) > 0 else ROWS_PER_BATCH)
+    try:  # the conf counts while the table is written
+        return bucketed(rows.coalesce(cores).mapInArrow(run, schema), "part")
+    finally:
+        conf.set(name, before)
 
 
 def counted(parts: DataFrame, min_count: int) -> DataFrame:

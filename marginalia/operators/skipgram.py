@@ -140,7 +140,7 @@ def next_parameters(parameters: DataFrame, given: DataFrame, vector_size: int, s
 
 def _near(tokens: np.ndarray, sizes: np.ndarray, window_size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of numbers, none negative, at most ``window_size`` places apart in one text, a chunk at a time."""
-    ends = np.repeat(np.cumsum(sizes, dtype=np.int64), sizes)
+    ends = np.repeat(np.cumsum(sizes, dtype=np.int32), sizes)  # a part has fewer than 2 ** 31 tokens, or its row would not fit
     for distance in range(1, window_size + 1):
         for begin in range(0, len(tokens) - distance, CHUNK):
             to = min(begin + CHUNK, len(tokens) - distance)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from marginalia.operators.staging import bucketed, staged
+from marginalia.operators.staging import bucketed, buckets, staged
 
 #: A part is closed once it has this many tokens.
 TOKENS_PER_PART = 4_000_000
@@ -123,11 +123,12 @@ class Dealt:
 
     parts: DataFrame
     known: DataFrame
+    key: str | None = None
 
 
 def deal(documents: DataFrame, min_count: int = 0, text: str = "text", key: str | None = None) -> Dealt:
     parts = in_parts(documents, text, key)
-    return Dealt(parts, counted(parts, min_count))
+    return Dealt(parts, counted(parts, min_count), key)
 
 
 def with_parts(parts: DataFrame, rows: DataFrame, run: Callable[[dict, dict], dict], schema: str, *columns: str) -> DataFrame:
@@ -145,7 +146,9 @@ def with_parts(parts: DataFrame, rows: DataFrame, run: Callable[[dict, dict], di
         found = run(own, {c: right.column(c).to_numpy() for c in right.column_names})
         return pa.Table.from_pydict(found, schema=fields)
 
-    return parts.select(*columns).groupBy("part").cogroup(rows.groupBy("part")).applyInArrow(joined, schema)
+    # By number, so that small rows do not put several parts into one task.
+    dealt = rows.repartition(buckets(rows.sparkSession), "part")
+    return parts.select(*columns).groupBy("part").cogroup(dealt.groupBy("part")).applyInArrow(joined, schema)
 
 
 def arrow_schema(schema: str) -> pa.Schema:

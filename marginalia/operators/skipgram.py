@@ -269,16 +269,9 @@ def mean_loss(pairs: DataFrame, parameters: DataFrame, vector_size: int) -> Data
     return rows.agg((F.sum(loss * F.col("weight")) / F.sum("weight")).alias("loss"))
 
 
-def document_vectors(
-    documents: DataFrame, parameters: DataFrame, key: str, vector_size: int, text: str = "text", dealt: Dealt | None = None
-) -> DataFrame:
-    """``(key, r_i)``: the sum of the known words' vectors over the number of all tokens; zero without tokens.
-
-    Rows with one key are one document; a null key is a key. ``dealt`` are the documents dealt before, with that key.
-    """
-    size = range(vector_size)
+def text_sums(dealt: Dealt, parameters: DataFrame, vector_size: int) -> DataFrame:
+    """``(k, tokens, s_i)`` of every row: its key, how many tokens it has, and its known words' vectors added up in fixed point."""
     vs, _ = _columns(vector_size)
-    dealt = dealt or deal(documents, 0, text, key)
     kind = dealt.parts.schema["keys"].dataType.elementType.simpleString()
     one = float(1 << DOCUMENT_BITS)
 
@@ -292,12 +285,27 @@ def document_vectors(
             return upto[ends] - upto[ends - sizes]
 
         fixed = [np.append(np.floor(rows[c] * one + 0.5).astype(np.int64), 0) for c in vs]  # -1 reads the last
-        sums = {f"s_{i}": by_text(fixed[i][row]) for i in size}
+        sums = {f"s_{i}": by_text(values[row]) for i, values in enumerate(fixed)}
         return {"k": part["keys"].values, "tokens": by_text(unpack(part["ids"].as_py()) >= 0), **sums}
 
     vectors = dealt.known.select("part", "at", "word").join(parameters.select("word", *vs), "word").drop("word")
-    schema = ", ".join([f"k {kind}", "tokens bigint", *(f"s_{i} bigint" for i in size)])
-    found = with_parts(dealt.parts, vectors, run, schema, "ids", "sizes", "keys")
-    totals = found.groupBy("k").agg(F.sum("tokens").alias("tokens"), *(F.sum(f"s_{i}").alias(f"s_{i}") for i in size))
-    means = [F.coalesce(F.try_divide(F.col(f"s_{i}") / one, F.col("tokens")), F.lit(0.0)) for i in size]
-    return totals.select(F.col("k").alias(key), *(m.alias(f"r_{i}") for i, m in zip(size, means)))
+    schema = ", ".join([f"k {kind}", "tokens bigint", *(f"s_{i} bigint" for i in range(vector_size))])
+    return with_parts(dealt.parts, vectors, run, schema, "ids", "sizes", "keys")
+
+
+def text_means(vector_size: int) -> list[Column]:
+    """From ``text_sums``: the sum of the known words' vectors over the number of all tokens; zero without tokens."""
+    one = float(1 << DOCUMENT_BITS)
+    return [F.coalesce(F.try_divide(F.col(f"s_{i}") / one, F.col("tokens")), F.lit(0.0)) for i in range(vector_size)]
+
+
+def document_vectors(
+    documents: DataFrame, parameters: DataFrame, key: str, vector_size: int, text: str = "text", dealt: Dealt | None = None
+) -> DataFrame:
+    """``(key, r_i)``: the sum of the known words' vectors over the number of all tokens; zero without tokens.
+
+    Rows with one key are one document; a null key is a key. ``dealt`` are the documents dealt before, with that key.
+    """
+    found = text_sums(dealt or deal(documents, 0, text, key), parameters, vector_size)
+    totals = found.groupBy("k").agg(F.sum("tokens").alias("tokens"), *(F.sum(f"s_{i}").alias(f"s_{i}") for i in range(vector_size)))
+    return totals.select(F.col("k").alias(key), *(m.alias(f"r_{i}") for i, m in enumerate(text_means(vector_size))))

@@ -31,12 +31,15 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def bucketed(df: DataFrame, column: str) -> DataFrame:
     """Like ``staged``, dealt by ``column`` as a shuffle would deal it, so that joins on it move only the other side."""
     spark = df.sparkSession
     name = f"stage_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, column).option("path", staged_path(spark)).saveAsTable(name)
+    df.write.bucketBy(buckets(spark), column).option("path", staged_path(spark)).saveAsTable(name)
     rows = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name only; the files stay, like other stages
     return rows

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marginalia.functions.text import space_tokens
 from marginalia.operators import tagging, viterbi
 from marginalia.operators import word_vectors as wv
+from marginalia.operators.parts import deal
 from marginalia.operators.staging import staged, staged_path
 from marginalia.sources.corpora import read_tagged_corpus
 from marginalia.sources.tables import read_table, spread
@@ -39,8 +40,9 @@ def w2v_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 def doc_vectors(spark: SparkSession, folder: str) -> DataFrame:
     documents = tokens(spark, folder)
-    model = wv.fit_word_vectors(documents)
-    return wv.document_vectors(model, documents).select("doc_id", "result")
+    dealt = deal(documents, key="doc_id")
+    model = wv.fit_word_vectors(documents, dealt=dealt)
+    return wv.document_vectors(model, documents, dealt=dealt).select("doc_id", "result")
 
 
 def word_vector_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """How far the sources of a language are apart, by the words they use: exact chi-square-like divergences.
 
-Chunk factorisation: a task counts the white-space chunks of each document and keeps, per block of documents and chunk, the
-documents and counts. Each chunk that occurs anywhere is cut into terms once, and its terms are joined back to the
-blocks, unless all their documents together are too few. A block then adds up its terms by document, which tells
-documents apart where several chunks give one term, and hands on one row per language and term. So no shuffle carries a
-row per document and chunk, and the commonest chunk or term has as many rows as there are blocks.
+Chunk factorisation: a task counts the white-space chunks of each document. Each chunk of a block of documents is cut into
+terms once, and its terms are joined back to the documents that hold it, which tells documents apart where several chunks
+give one term. A block hands on one row per source and term, and a document is in one block, so the rows' documents add
+up. They are shuffled once, by language and term; no row per document or chunk is, and the commonest term has as many
+rows as blocks have sources. Only terms of enough documents are written.
 
 Sources are compared in tiles of ``TILE`` by ``TILE`` of a language: terms come in buckets, each adds to a matrix, and a
 term that neither source of a tile pair holds is added by number, as all such terms give the same. The output has a row
@@ -17,13 +17,12 @@ the three columns are read, whatever others are there.
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,198 +34,130 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCUMENTS = 10
 SCALE = 1_000_000_000
 TOP = 10
-#: Pairs of document and chunk in a block, beyond which the next document starts a new one; document numbers have 16 bits.
-BLOCK_PAIRS, BLOCK_DOCUMENTS = 4_000_000, 1 << 16
+#: ``TERM`` on bytes that are lower-cased: all others that no term holds are spaces, but the line feed stays.
+TERM_BYTES = bytes(b if b == 10 or b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+#: Pairs of document and chunk in a block, documents, and bytes of text, beyond which the next document starts a new one.
+BLOCK_PAIRS, BLOCK_DOCUMENTS, BLOCK_BYTES = 4_000_000, 1 << 16, 1 << 27
 #: Rows handed on together.
 TOGETHER = 100_000
 #: Sources in a tile, and buckets of terms for each pair of tiles.
 TILE, TERM_BUCKETS = 64, 64
 
-BLOCKS = "block bigint, chunk string, docs binary, counts binary"
+FOUND = "lang string, source string, term string, documents bigint, n bigint"
 
 
-def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """An Arrow column of the byte strings of ``data`` that end at ``ends``."""
-    offsets = np.concatenate([[0], ends]).astype("<i4")
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
-
-
-def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a binary column without nulls, and the length of each value."""
-    offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
-    return data[offsets[0] : offsets[-1]], np.diff(offsets)
+def _cut(chunks: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct terms of chunks without white space, sorted; the numbers of all terms in order, and how many each chunk has."""
+    lines = b"\n".join(chunks).translate(TERM_BYTES)
+    index: defaultdict = defaultdict()
+    index.default_factory = index.__len__
+    words = lines.split()
+    term = np.fromiter(map(index.__getitem__, words), np.int32, len(words))
+    held = np.frombuffer(lines, np.uint8) > 32
+    starts = np.flatnonzero(held[1:] & ~held[:-1]) + 1
+    starts = np.append(0, starts) if len(held) and held[0] else starts
+    chunk = np.searchsorted(np.flatnonzero(np.frombuffer(lines, np.uint8) == 10), starts)
+    terms = pa.array(list(index), pa.binary())
+    order = np.asarray(pc.sort_indices(terms))
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order))
+    return terms.take(pa.array(order)).cast(pa.string()), place[term], np.bincount(chunk, minlength=len(chunks))
 
 
 class Block:
     """Documents of one task: how often each has each chunk."""
 
-    def __init__(self, number: int):
-        self.number, self.pairs = number, 0
+    def __init__(self) -> None:
+        self.pairs = self.size = 0
         self.index: defaultdict = defaultdict()
         self.index.default_factory = self.index.__len__
-        self.chunks, self.counts, self.langs, self.sources = [], [], [], []
+        self.groups: defaultdict = defaultdict()
+        self.groups.default_factory = self.groups.__len__
+        self.chunks, self.counts, self.group = [], [], []
 
-    def add(self, text: str, lang: str, source: str) -> None:
-        words = text.encode().lower().split()
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        words = text.lower().split()
         chunks, counts = np.unique(np.fromiter(map(self.index.__getitem__, words), np.int32, len(words)), return_counts=True)
         self.chunks.append(chunks)
         self.counts.append(counts)
-        self.langs.append(lang)
-        self.sources.append(source)
+        self.group.append(self.groups[lang, source])
         self.pairs += len(chunks)
-
-    def full(self) -> bool:
-        return self.pairs >= BLOCK_PAIRS or len(self.langs) == BLOCK_DOCUMENTS
+        self.size += len(text)
 
     def rows(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        """A row with each document's language and source as JSON, then a row per chunk with 16-bit document numbers.
-
-        ``counts`` has as many bytes a document as the largest needs: none if all are one, else one or four.
-        """
-        head = {"block": self.number, "docs": json.dumps([self.langs, self.sources]).encode()}
-        yield pa.RecordBatch.from_arrays([pa.array([head.get(f.name)], f.type) for f in schema], schema=schema)
+        """A row per source and term: its documents with the term, the term's occurrences there."""
         if not self.index:
             return
-        chunk, counts = np.concatenate(self.chunks), np.concatenate(self.counts)
-        docs = np.repeat(np.arange(len(self.chunks), dtype="<u2"), [len(c) for c in self.chunks])
-        order = np.argsort(chunk, kind="stable")
-        docs, counts = docs[order], counts[order].astype("<u4")
-        held = np.bincount(chunk, minlength=len(self.index))
-        starts = np.cumsum(held) - held
-        most = np.maximum.reduceat(counts, starts)
-        width = np.where(most == 1, 0, np.where(most < 256, 1, 4))
-        ends = np.cumsum(held * width)
-        packed, each = np.zeros(ends[-1], np.uint8), np.repeat(width, held)
-        at = np.repeat(ends - held * width, held) + (np.arange(len(counts)) - np.repeat(starts, held)) * each
-        packed[at[each == 1]] = counts[each == 1]
-        wide = counts[each == 4].view(np.uint8).reshape(-1, 4)
-        for byte in range(4):
-            packed[at[each == 4] + byte] = wide[:, byte]
-        columns = {
-            "block": pa.array(np.full(len(held), self.number)),
-            "chunk": pa.array(list(self.index), pa.string()),
-            "docs": _binary(docs, 2 * np.cumsum(held)),
-            "counts": _binary(packed, ends),
-        }
-        whole = pa.RecordBatch.from_arrays(
-            [columns.get(f.name, pa.nulls(len(held), f.type)) for f in schema], schema=schema
-        )
-        for start in range(0, whole.num_rows, TOGETHER):
-            yield whole.slice(start, TOGETHER)
-
-
-def chunk_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of ``docs(lang, source, text)``, all without nulls: see ``Block.rows``."""
-    schema = arrow_schema(BLOCKS)
+        terms, term, width = _cut(list(self.index))
+        first = np.cumsum(width) - width
+        # Documents by group: those of a term and group then follow each other.
+        by_group = np.argsort(self.group, kind="stable")
+        group, many = np.array(self.group)[by_group], len(by_group)
+        place = np.empty(many, np.int64)
+        place[by_group] = np.arange(many)
+        doc = np.repeat(place, [len(c) for c in self.chunks])
+        chunk, n = np.concatenate(self.chunks), np.concatenate(self.counts)
+        each = width[chunk]
+        at = np.repeat(first[chunk] - np.cumsum(each) + each, each) + np.arange(each.sum())
+        key, n = term[at] * np.int64(many) + np.repeat(doc, each), np.repeat(n, each)
+        del at, doc, chunk, each
+        if not len(key):
+            return
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        key, n = key[starts], np.add.reduceat(n, starts)
+        term, own = key // many, group[key % many]
+        starts = np.flatnonzero(np.diff(term * len(self.groups) + own, prepend=-1))
+        documents, n = np.diff(starts, append=len(key)), np.add.reduceat(n, starts)
+        term, own = term[starts], own[starts]
+        langs, sources = (pa.array(names, pa.string()) for names in zip(*self.groups))
+        for start in range(0, len(starts), TOGETHER):
+            part = slice(start, start + TOGETHER)
+            columns = {
+                "lang": langs.take(pa.array(own[part])),
+                "source": sources.take(pa.array(own[part])),
+                "term": terms.take(pa.array(term[part])),
+                "documents": pa.array(documents[part]),
+                "n": pa.array(n[part]),
+            }
+            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
+
+
+def terms_by_block(docs: DataFrame) -> DataFrame:
+    """``(lang, source, term, documents, n)`` of every block of ``docs(lang, source, text)``, all without nulls: see ``Block.rows``."""
+    schema = arrow_schema(FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        block = Block(number)
+        block = Block()
         for batch in batches:
             for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                block.add(text, lang, source)
-                if block.full():
+                block.add(lang, source, text)
+                if block.pairs >= BLOCK_PAIRS or len(block.group) == BLOCK_DOCUMENTS or block.size >= BLOCK_BYTES:
                     yield from block.rows(schema)
-                    block = Block(block.number + 1)
-        if block.langs:
-            yield from block.rows(schema)
-
-    return docs.select("lang", "source", "text").mapInArrow(run, BLOCKS)
-
+                    block = Block()
+        yield from block.rows(schema)
 
-def _by_group(term: np.ndarray, doc: np.ndarray, n: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``(term, group, documents, occurrences)`` of a block, by term and group, each document once."""
-    for last in (doc, group):
-        key = term.astype(np.int64) << 32 | (last if last is doc else group[doc])
-        order = np.argsort(key, kind="stable")
-        starts = np.flatnonzero(np.diff(key[order], prepend=-1))
-        documents = np.diff(starts, append=len(key))
-        n, term = np.add.reduceat(n[order], starts), term[order][starts]
-        if last is doc:
-            doc = doc[order][starts]
-    return term, key[order][starts] & 0xFFFFFFFF, documents, n
+    return docs.select("lang", "source", F.col("text").cast("binary")).mapInArrow(run, FOUND)
 
 
-def chunk_terms(blocks: DataFrame, min_documents: int) -> DataFrame:
-    """``(chunk, term)``: every distinct chunk cut once, without terms that cannot be in ``min_documents`` documents.
+def kept_terms(found: DataFrame, min_documents: int) -> DataFrame:
+    """``(lang, source, term, n, lang_n, first)`` of terms in ``min_documents`` documents of their language: occurrences in the source, in the language.
 
-    The documents of all chunks with a term, added up, are at least as many as the documents with the term.
+    ``first`` holds for one source of each language and term.
     """
-    held = F.octet_length("docs") / 2
-    chunks = blocks.filter("chunk is not null").groupBy("chunk").agg(F.sum(held.cast("bigint")).alias("held"))
-    cut = staged(chunks.select("chunk", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"), "held"))
-    enough = cut.groupBy("term").agg(F.sum("held").alias("held")).filter(F.col("held") >= min_documents)
-    return cut.select("chunk", "term").join(enough.select("term"), "term", "left_semi")
-
-
-def terms_by_language(blocks: DataFrame, min_documents: int) -> DataFrame:
-    """``(lang, term, documents, sources, counts)`` of every block: its documents with the term, its occurrences by source.
-
-    Terms that cannot be in ``min_documents`` documents are left out.
-    """
-    terms = blocks.filter("chunk is not null").join(chunk_terms(blocks, min_documents), "chunk")
-    terms = terms.select("block", "term", "docs", "counts")
-    heads = blocks.filter("chunk is null").withColumnRenamed("chunk", "term")
-    together = heads.unionByName(terms).repartition("block").sortWithinPartitions("block", F.col("term").isNotNull())
-    ddl = "lang string, term string, documents bigint, sources array<string>, counts array<bigint>"
-    schema = arrow_schema(ddl)
-
-    def finish(head: bytes, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not parts:
-            return
-        of_doc = list(zip(*json.loads(head)))
-        groups = sorted(set(of_doc))
-        number = {g: k for k, g in enumerate(groups)}
-        group = np.array([number[g] for g in of_doc])
-        names = pa.chunked_array([p.column("term") for p in parts]).combine_chunks().dictionary_encode()
-        docs, held = zip(*(_bytes_of(p.column("docs")) for p in parts))
-        doc, held = np.concatenate(docs).view("<u2").astype(np.int64), np.concatenate(held) // 2
-        counts, size = zip(*(_bytes_of(p.column("counts")) for p in parts))
-        data, width = np.concatenate(counts), np.concatenate(size) // held
-        each, n = np.repeat(width, held), np.ones(len(doc), np.int64)
-        at = np.cumsum(each) - each
-        n[each == 1] = data[at[each == 1]]
-        n[each == 4] = sum(data[at[each == 4] + k].astype(np.int64) << 8 * k for k in range(4))
-        term = np.repeat(np.asarray(names.indices), held)
-        term, own, documents, n = _by_group(term, doc, n, group)
-        langs, lang_of = np.unique([g[0] for g in groups], return_inverse=True)
-        # Groups are sorted, so those of a language follow each other within a term.
-        key = term.astype(np.int64) * len(langs) + lang_of[own]
-        starts = np.flatnonzero(np.diff(key, prepend=-1))
-        ends = pa.array(np.append(starts, len(key)).astype("<i4"))
-        sources = pa.array([g[1] for g in groups]).take(pa.array(own))
-        out = pa.RecordBatch.from_arrays(
-            [
-                pa.array(langs.tolist(), pa.string()).take(pa.array(lang_of[own[starts]])),
-                names.dictionary.take(pa.array(term[starts])),
-                pa.array(np.add.reduceat(documents, starts)),
-                pa.ListArray.from_arrays(ends, sources),
-                pa.ListArray.from_arrays(ends, pa.array(n)),
-            ],
-            ["lang", "term", "documents", "sources", "counts"],
-        )
-        for start in range(0, out.num_rows, TOGETHER):
-            part = out.slice(start, TOGETHER)
-            yield pa.RecordBatch.from_arrays([part.column(f.name).cast(f.type) for f in schema], schema=schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, parts = None, []
-        for batch in batches:
-            is_head = np.flatnonzero(np.asarray(batch.column("term").is_null()))
-            bounds = [0, *is_head.tolist(), batch.num_rows]
-            for k, (start, end) in enumerate(zip(bounds, bounds[1:])):
-                if k:  # rows from a head on belong to the next block
-                    if head:
-                        yield from finish(head, parts)
-                    head, parts = batch.column("docs")[start].as_py(), []
-                    start += 1
-                if start < end:
-                    parts.append(batch.slice(start, end - start))
-        if head:
-            yield from finish(head, parts)
-
-    return together.mapInArrow(run, ddl)
+    of_term = Window.partitionBy("lang", "term")
+    sums = found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("documents").alias("documents"), F.sum("n").alias("n"))
+    sums = sums.select(
+        "lang",
+        "source",
+        "term",
+        "n",
+        F.sum("n").over(of_term).alias("lang_n"),
+        (F.min("source").over(of_term) == F.col("source")).alias("first"),
+        F.sum("documents").over(of_term).alias("documents"),
+    )
+    return sums.filter(F.col("documents") >= min_documents).drop("documents")
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -259,40 +190,42 @@ def _compare_tiles(cells: DataFrame, groups: DataFrame) -> DataFrame:
 
         def __init__(self, key: tuple):
             self.lang, self.x, self.y, _ = key
-            self.numbers, self.p0, self.value, self.seen = [], [], None, 0
-            self.terms: list[dict[int, int]] = []
-            self.last = None
-
-        def add(self, number: int, term: str | None, p: int) -> None:
-            if term is None:
-                self.numbers.append(number)
-                self.p0.append(p)
+            self.numbers, self.p0, self.value, self.seen = np.zeros(0, np.int64), np.zeros(0, np.int64), None, 0
+            self.cells: list[tuple[np.ndarray, ...]] = []
+            self.terms, self.last = 0, None
+
+        def add(self, number: np.ndarray, term: pa.Array, p: np.ndarray) -> None:
+            """Rows that follow those added: first the sources by number, without a term, then the cells by term."""
+            heads = term.null_count
+            self.numbers, self.p0 = np.append(self.numbers, number[:heads]), np.append(self.p0, p[:heads])
+            if heads == len(term):
                 return
-            if term != self.last:
-                if len(self.terms) == many:
-                    self.flush()
-                self.terms.append({})
-                self.last = term
-            self.terms[-1][number] = p
-
-        def flush(self) -> None:
-            numbers = np.array(self.numbers)
-            place = {number: k for k, number in enumerate(self.numbers)}
-            p = np.tile(np.array(self.p0, np.int64), (len(self.terms), 1))
-            for row, held in enumerate(self.terms):
-                for number, own in held.items():
-                    p[row, place[number]] = own
-            self.left, self.right = numbers[numbers // TILE == self.x], numbers[numbers // TILE == self.y]
-            q = p[:, numbers // TILE == self.y]
+            term = term.slice(heads)
+            code = np.asarray(term.dictionary_encode().indices)
+            again = self.terms > 0 and term[0].as_py() == self.last
+            row = self.terms - again + np.cumsum(np.diff(code, prepend=code[0]) != 0)
+            self.cells.append((row, number[heads:], p[heads:]))
+            self.terms, self.last = int(row[-1]) + 1, term[-1].as_py()
+            if self.terms > many:
+                self.flush(self.terms - 1)  # the last one's rows may go on
+
+        def flush(self, terms: int) -> None:
+            row, number, own = (np.concatenate(c) for c in zip(*self.cells)) if self.cells else np.zeros((3, 0), np.int64)
+            now = row < terms
+            p = np.tile(self.p0, (terms, 1))
+            p[row[now], np.searchsorted(self.numbers, number[now])] = own[now]
+            is_left, is_right = self.numbers // TILE == self.x, self.numbers // TILE == self.y
+            self.left, self.right = self.numbers[is_left], self.numbers[is_right]
+            q = p[:, is_right]
             value = np.zeros((len(self.left), len(self.right)), np.int64)
-            for k, column in enumerate(p[:, numbers // TILE == self.x].T):
+            for k, column in enumerate(p[:, is_left].T):
                 value[k] = ((column[:, None] - q) ** 2 // (column[:, None] + q)).sum(axis=0)
             self.value = value if self.value is None else self.value + value
-            self.seen += len(self.terms)
-            self.terms = []
+            self.seen += terms
+            self.cells, self.terms = [(row[~now] - terms, number[~now], own[~now])], self.terms - terms
 
         def out(self) -> pa.RecordBatch:
-            self.flush()
+            self.flush(self.terms)
             k, m = np.nonzero(self.left[:, None] < self.right[None, :])
             columns = [[self.lang] * len(k), self.left[k], self.right[m], self.value[k, m], np.full(len(k), self.seen)]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -300,13 +233,18 @@ def _compare_tiles(cells: DataFrame, groups: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, tiles = None, None
         for batch in batches:
-            for lang, x, y, bucket, number, term, p in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != (lang, x, y, bucket):
+            if not batch.num_rows:
+                continue
+            codes = [np.asarray(batch.column(c).dictionary_encode().indices) for c in keys]
+            starts = np.flatnonzero(np.any([np.diff(c, prepend=-1) != 0 for c in codes], axis=0))
+            number, p = (np.asarray(batch.column(c)) for c in ("number", "p"))
+            for start, end in zip(starts, np.append(starts[1:], batch.num_rows)):
+                own = tuple(batch.column(c)[start].as_py() for c in keys)
+                if key != own:
                     if tiles:
                         yield tiles.out()
-                    key = lang, x, y, bucket
-                    tiles = Tiles(key)
-                tiles.add(number, term, p)
+                    key, tiles = own, Tiles(own)
+                tiles.add(number[start:end], batch.column("term").slice(start, end - start), p[start:end])
         if tiles:
             yield tiles.out()
 
@@ -321,15 +259,10 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP) -
     language; part ``term`` lists the ``top`` terms that a source has more of than its language.
     """
     given = docs.select(*(F.coalesce(docs[c], F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    found = staged(terms_by_language(staged(chunk_blocks(given)), min_documents))
-    kept = found.groupBy("lang", "term").agg(F.sum("documents").alias("documents")).filter(F.col("documents") >= min_documents)
-    kept = staged(kept.select("lang", "term"))
-    by_source = found.join(kept, ["lang", "term"]).select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
-    by_source = by_source.groupBy("lang", F.col("c.sources").alias("source"), "term").agg(F.sum("c.counts").alias("n"))
-    by_source = staged(by_source)
+    by_source = staged(kept_terms(terms_by_block(given), min_documents))
 
     totals = by_source.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
+    sizes = by_source.groupBy("lang").agg(F.count_if("first").alias("terms"))
     numbered = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = given.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
     groups = groups.fillna(0, ["total", "terms"]).withColumn("number", numbered.cast("bigint"))
@@ -340,9 +273,8 @@ def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP) -
 
     cells = by_source.join(groups, ["lang", "source"])
     cells = cells.withColumn("p", share(F.col("n"), F.col("total"), F.col("terms")))
-    in_lang = by_source.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     q = share(F.col("lang_n"), F.col("lang_total"), F.col("terms"))
-    more = cells.join(in_lang, ["lang", "term"]).withColumn("q", q).filter("p > q")
+    more = cells.withColumn("q", q).filter("p > q")
     by_term = more.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))
 
     sums = _compare_tiles(cells, groups.filter("terms > 0"))

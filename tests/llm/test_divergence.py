@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from marginalia.llm import divergence
 from tests.llm.brute import lower
 
 DOCS = "lang string, source string, text string"
+#: Words of letters from hexadecimal digits.
+LETTERS = str.maketrans("0123456789", "ghijklmnop")
 
 
 def audit(rows, min_documents, top):
@@ -75,3 +78,42 @@ def test_very_long_texts(spark):
     rows = [("en", "a", "some words " * 800_000), ("en", "b", "x" * 5_000_000 + "-some"), ("en", "b", "words")]
     docs = spark.createDataFrame(rows, DOCS)
     assert got(docs, 1) == audit(rows, 1, 10)
+
+
+def test_rare_words_take_no_disk(spark):
+    """Words in too few documents are most of a real vocabulary: they are counted, not written."""
+    rows = [("en", f"s{k % 3}", "the " + " ".join(f"{k * 7919 + n:08x}".translate(LETTERS) for n in range(200))) for k in range(1000)]
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+
+    def written():
+        return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+    docs, before = spark.createDataFrame(rows, DOCS), written()
+    assert got(docs) == audit(rows, 10, 10)
+    assert 20 * (written() - before) < sum(len(text) for _, _, text in rows)
+
+
+@pytest.mark.parametrize("limit, value", [("BLOCK_DOCUMENTS", 4), ("BLOCK_PAIRS", 20), ("BLOCK_BYTES", 120)])
+def test_blocks_of_a_task_add_up(spark, monkeypatch, limit, value):
+    monkeypatch.setattr(divergence, limit, value)
+    docs = spark.createDataFrame(HARD, DOCS).coalesce(1)
+    assert docs.rdd.getNumPartitions() == 1 and divergence.terms_by_block(docs.fillna("")).filter("term = 'the'").count() > 12
+    assert got(docs, 2) == audit(HARD, 2, 10)
+
+
+def test_many_terms_in_a_bucket(spark, monkeypatch):
+    """More terms than are compared together, whose rows go on in the next batch."""
+    monkeypatch.setattr(divergence, "TERM_BUCKETS", 1)
+    monkeypatch.setattr(divergence, "TILE", 2)
+    words = [f"{k:05x}".translate(LETTERS) for k in range(9000)]
+    rows = [("en", f"s{k}", " ".join(words[k::step] + words[: 40 * k])) for k, step in enumerate((1, 2, 3, 5, 7))]
+    assert got(spark.createDataFrame(rows, DOCS), 2) == audit(rows, 2, 10)
+
+
+@pytest.mark.parametrize("chunks", [[], [b"--"], [b"the", b"--", b"a-b-a", b"-", b"\x1c\xc3\xa9.", b"9"], [b"(x", b"x)"]])
+def test_chunks_are_cut_once(chunks):
+    terms, numbers, held = divergence._cut(chunks)
+    each = [re.findall(divergence.TERM, c.decode()) for c in chunks]
+    assert terms.to_pylist() == sorted({t for c in each for t in c})
+    assert terms.take(numbers.tolist()).to_pylist() == [t for c in each for t in c] if len(numbers) else not any(each)
+    assert held.tolist() == [len(c) for c in each]
